@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import packing, sharding
+from . import near_dups, packing, sharding
 
 QUERIES = {
     "op2_best_fit_packing": packing.op2_best_fit_packing,
+    "op6_simhash_near_dedup": near_dups.op6_simhash_near_dedup,
     "op10_sharding": sharding.op10_sharding,
 }
 
