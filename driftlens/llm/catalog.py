@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from . import near_dups, packing, sharding
+from . import decontamination, licenses, near_dups, packing, sharding
 
 QUERIES = {
     "op2_best_fit_packing": packing.op2_best_fit_packing,
     "op6_simhash_near_dedup": near_dups.op6_simhash_near_dedup,
+    "op7_license_scans": licenses.op7_license_scans,
+    "op9_benchmark_decontamination": decontamination.op9_benchmark_decontamination,
     "op10_sharding": sharding.op10_sharding,
 }
 

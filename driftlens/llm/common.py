@@ -63,3 +63,14 @@ def words_of(text: str | None) -> list[bytes]:
 def broadcast_value(spark: SparkSession, value):
     context: SparkContext = spark.sparkContext
     return context.broadcast(value)
+
+
+#: Keys of 8 bytes up to this number are broadcast; beyond it they are joined.
+BROADCAST_KEYS = 1_000_000
+
+
+def drop_rows(df: DataFrame, gone: DataFrame, key: str) -> DataFrame:
+    """``df`` without the rows whose ``key`` is in ``gone`` (one column of long numbers, no nulls)."""
+    gone = stash(gone.select(key).distinct(), "dropped")
+    small = gone.count() <= BROADCAST_KEYS
+    return df.join(F.broadcast(gone) if small else gone, key, "left_anti")

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..shipping import ship_package
-from .common import stash, table
+from .common import drop_rows, stash, table
 from .components import components
 
 #: Rows of one segment value that are held together; the rest goes to further parts of the cell.
@@ -288,8 +288,11 @@ def keep_one_of_each(docs: DataFrame, scheme: Scheme = SIMILAR) -> DataFrame:
     numbered = docs.withColumn(spare, F.monotonically_increasing_id())
     groups = near_duplicate_groups(numbered.select(F.col(spare).alias("key"), "text"), scheme)
     ids = numbered.select(F.col(spare).alias("key"), "doc_id")
-    kept = groups.join(ids, "key").groupBy("group").agg(F.min_by("key", F.struct(F.col("doc_id").isNull(), "doc_id", "key")).alias(spare)).select(spare)
-    return numbered.join(kept, spare, "left_semi").drop(spare)
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "key")
+    named = stash(groups.select("key", "group").join(ids, "key"), "groups")
+    first = named.groupBy("group").agg(F.min_by("key", order).alias("kept"), F.count("*").alias("n")).where("n > 1")
+    gone = named.join(first, "group").where("key <> kept").select(F.col("key").alias(spare))
+    return drop_rows(numbered, gone, spare).drop(spare)
 
 
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
