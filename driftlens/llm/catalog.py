@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import decontamination, licenses, near_dups, packing, sharding
+from . import decontamination, licenses, near_dups, packing, sharding, toxicity
 
 QUERIES = {
     "op2_best_fit_packing": packing.op2_best_fit_packing,
     "op6_simhash_near_dedup": near_dups.op6_simhash_near_dedup,
     "op7_license_scans": licenses.op7_license_scans,
+    "op8_toxicity": toxicity.op8_toxicity,
     "op9_benchmark_decontamination": decontamination.op9_benchmark_decontamination,
     "op10_sharding": sharding.op10_sharding,
 }
