@@ -31,9 +31,9 @@ from .common import table
 #: bytes up to which a document is taken.
 SAMPLE_TOXIC, SAMPLE_ORDINARY, SAMPLE_BYTES = 3000, 6000, 20_000
 #: Bytes of a window (it ends at the next blank), and of the dictionaries.
-WINDOW, ORDINARY_BYTES, TOXIC_BYTES = 48, 16384, 2048
+WINDOW, ORDINARY_BYTES, TOXIC_BYTES = 96, 16384, 4096
 #: The shortest match the compressors look for.
-MIN_MATCH = 6
+MIN_MATCH = 4
 #: Beginnings of words that are compared between the classes.
 SHORTEST, LONGEST = 4, 8
 #: A beginning is typical if so many toxic documents hold it, so many times the ordinary share, and
