@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import decontamination, licenses, near_dups, packing, sharding, toxicity
+from . import decontamination, licenses, near_dups, packing, sharding, toxicity, url_rules
 
 QUERIES = {
     "op2_best_fit_packing": packing.op2_best_fit_packing,
+    "op4_url_filters": url_rules.op4_url_filters,
     "op6_simhash_near_dedup": near_dups.op6_simhash_near_dedup,
     "op7_license_scans": licenses.op7_license_scans,
     "op8_toxicity": toxicity.op8_toxicity,
@@ -13,4 +14,25 @@ QUERIES = {
     "op10_sharding": sharding.op10_sharding,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op4_url_filters": r"""
+        WITH cut AS (
+            SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
+        ), parts AS (
+            SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                   regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+            FROM cut
+        ), judged AS (
+            SELECT *, CASE
+                WHEN (host = 'www.example.com' OR host LIKE '%.www.example.com') AND starts_with(path, '/en/') THEN 'www.example.com/en/'
+                WHEN (host = 'example.com' OR host LIKE '%.example.com') AND starts_with(path, '/en/') THEN 'example.com/en/'
+                WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/es/') THEN 'net/es/'
+                WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/fr/') THEN 'net/fr/'
+                WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/') THEN 'com/'
+            END AS rule FROM parts
+        )
+        SELECT page_id, host, path, rule,
+               CASE WHEN rule IN ('example.com/en/', 'net/es/', 'net/fr/') THEN 'block' ELSE 'allow' END AS verdict
+        FROM judged
+    """,
+}
