@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import decontamination, licenses, near_dups, packing, sharding, toxicity, url_rules
+from . import decontamination, licenses, near_dups, packing, sharding, topk, toxicity, url_rules
 
 QUERIES = {
     "op2_best_fit_packing": packing.op2_best_fit_packing,
+    "op3_exact_topk": topk.op3_exact_topk,
     "op4_url_filters": url_rules.op4_url_filters,
     "op6_simhash_near_dedup": near_dups.op6_simhash_near_dedup,
     "op7_license_scans": licenses.op7_license_scans,
@@ -15,6 +16,18 @@ QUERIES = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op3_exact_topk": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(256::DOUBLE * x::DOUBLE)) AS v FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+            FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+        ), ranked AS (
+            SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM scored
+        )
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+    """,
     "op4_url_filters": r"""
         WITH cut AS (
             SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
