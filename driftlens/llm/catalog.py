@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import decontamination, licenses, near_dups, packing, sharding, topk, toxicity, url_rules
+from . import decontamination, licenses, near_dups, packing, sharding, token_counts, topk, toxicity, url_rules
 
 QUERIES = {
+    "op1_token_counts": token_counts.op1_token_counts,
     "op2_best_fit_packing": packing.op2_best_fit_packing,
     "op3_exact_topk": topk.op3_exact_topk,
     "op4_url_filters": url_rules.op4_url_filters,
