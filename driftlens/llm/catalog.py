@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
-from . import decontamination, licenses, near_dups, packing, sharding, token_counts, topk, toxicity, url_rules
+import corpus_pipeline
+
+from . import decontamination, licenses, near_dups, packing, secret_scan, sharding, token_counts, topk, toxicity, url_rules
 
 QUERIES = {
     "op1_token_counts": token_counts.op1_token_counts,
     "op2_best_fit_packing": packing.op2_best_fit_packing,
     "op3_exact_topk": topk.op3_exact_topk,
     "op4_url_filters": url_rules.op4_url_filters,
+    "op5_secret_scans": secret_scan.op5_secret_scans,
     "op6_simhash_near_dedup": near_dups.op6_simhash_near_dedup,
     "op7_license_scans": licenses.op7_license_scans,
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_benchmark_decontamination": decontamination.op9_benchmark_decontamination,
     "op10_sharding": sharding.op10_sharding,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE_SQL: dict[str, str] = {
