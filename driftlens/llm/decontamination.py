@@ -29,7 +29,8 @@ PENALTY = 3
 #: Words before the first and after the last hit of a region that are looked at, and its most words.
 MARGIN = 64
 REGION_WORDS = 4096
-#: log2 of the bit map's size: 16 bits a seed, within these bounds (8 kB to 32 MB).
+#: Bits of the map for each seed, and bounds of the logarithm (base 2) of its size (8 kB to 32 MB).
+BITS_A_SEED = 256
 MAP_BITS = (16, 28)
 BATCH_BYTES = 1 << 20
 
@@ -93,6 +94,7 @@ def _bits(h: np.ndarray, log2: int) -> Iterator[np.ndarray]:
     """The places in a bit map of size 2**log2 that a seed sets."""
     yield h & np.uint64((1 << log2) - 1)
     yield h >> np.uint64(64 - log2)
+    yield (h * _ROOT) >> np.uint64(64 - log2)
 
 
 def _is_set(bit_map: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -227,7 +229,7 @@ def benchmark_overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     items = benchmark.selectExpr("cast(item_id as long) item_id", "cast(text as string) text").mapInArrow(_benchmark_rows, "item_id long, words binary")
     items = stash(items.groupBy("words").agg(F.min("item_id").alias("item_id")).select("item_id", F.col("words").alias("item_words")), "items")
     seed_table = stash(items.mapInArrow(_seed_rows, "seed long, item_id long, item_at int"), "seeds")
-    log2 = min(max(MAP_BITS[0], int(16 * seed_table.count() + 1).bit_length()), MAP_BITS[1])
+    log2 = min(max(MAP_BITS[0], int(BITS_A_SEED * seed_table.count() + 1).bit_length()), MAP_BITS[1])
     maps = seed_table.select("seed").coalesce(8).mapInArrow(_map_of(log2), "bits binary").collect()  # at most 8 maps of at most 32 MB
     bit_map = np.zeros(1 << (log2 - 3), np.uint8)
     for row in maps:
