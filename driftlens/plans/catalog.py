@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
+from . import schedule_queries, text_queries
+
+QUERIES: dict = {**schedule_queries.QUERIES, **text_queries.QUERIES}
+ORACLE_SQL: dict[str, str] = {**schedule_queries.ORACLE_SQL, **text_queries.ORACLE_SQL}
