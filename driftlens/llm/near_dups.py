@@ -49,7 +49,7 @@ class Scheme(NamedTuple):
 #: Exact for 4 bits: were 2 of the first, 2 of the second and 1 of the third segment to differ, it would be 5.
 CLOSE = Scheme(4, 1, 4, (Segment(0, 0, 22, 1), Segment(0, 22, 21, 1), Segment(0, 43, 21, 0)))
 #: Five words, similarity 0.8: shingle sets of Jaccard 0.8 differ in about 0.15 of the bits, unrelated ones in half.
-SIMILAR = Scheme(5, 3, 32, tuple(Segment(w, s, 21, 1) for w in range(3) for s in (0, 21, 42)))
+SIMILAR = Scheme(5, 3, 31, tuple(Segment(w, s, 16, 1) for w in range(3) for s in (0, 16, 32, 48)))
 
 
 def _mix(h: np.ndarray, k: int) -> np.ndarray:
