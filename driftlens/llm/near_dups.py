@@ -138,15 +138,16 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def _forest(held: np.ndarray, rows: np.ndarray, most: int) -> tuple[list[int], list[int]]:
     """Links (row, row) of ``rows`` that span the components of the graph between ``held``, which are
-    the first of ``rows``, and all of ``rows``."""
+    the first of ``rows``, and all of ``rows``.  Each component is a star around its smallest
+    fingerprint, so that cells that share a group mostly name the same links."""
     n, near = len(held), np.empty((len(rows), len(held)), dtype=bool)
     for k in range(0, len(rows), 256):
         near[k : k + 256] = _distances(rows[k : k + 256, None], held[None]) <= most
     seen, first, second = np.zeros(len(rows), bool), [], []
-    for root in range(n):
-        if seen[root]:
+    for start in range(n):
+        if seen[start]:
             continue
-        seen[root], front = True, np.array([root])
+        seen[start], front, members = True, np.array([start]), [np.array([start])]
         while len(front):
             reached = np.zeros(len(rows), bool)
             held_front = front[front < n]
@@ -155,8 +156,12 @@ def _forest(held: np.ndarray, rows: np.ndarray, most: int) -> tuple[list[int], l
             reached[:n] |= near[front].any(axis=0)
             front = np.flatnonzero(reached & ~seen)
             seen[front] = True
-            first += [root] * len(front)
-            second += front.tolist()
+            members.append(front)
+        found = np.concatenate(members)
+        centre = int(found[rows[found, 0].argmin()])
+        others = found[found != centre].tolist()
+        first += [centre] * len(others)
+        second += others
     return first, second
 
 
