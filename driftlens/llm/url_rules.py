@@ -9,6 +9,8 @@ ranges of keys, sorted, and swept once; a stack holds the rules whose interval i
 from __future__ import annotations
 
 
+from bisect import bisect_right
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -32,8 +34,9 @@ RULE_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in ("verdict"
 LAST = "\U0010ffff"
 #: Ranges of keys, and the bounded sample of keys that they are cut by (it only balances them).
 RANGES, SAMPLE = 256, 20_000
-#: Groups that the rows of one range are dealt to, so that a host with very many URLs is no single task's.
-SALTS = 8
+#: Groups that all rows are dealt to, besides one for each range: a range with a share of the sample
+#: gets that share of them, so that a host or page with very many URLs is no single task's.
+GROUPS = 1024
 
 
 def host_of(url):
@@ -133,6 +136,8 @@ def judge_urls(pages: DataFrame, rules: DataFrame, default: str = "allow") -> Da
     bounds = marks[:: max(1, len(marks) // RANGES)][1:][: RANGES - 1]  # bounded: at most RANGES keys
     lower = T.StringType()
     edges = F.lit(bounds) if bounds else F.array().cast(T.ArrayType(lower))
+    shares = Counter(bisect_right(bounds, r["key"]) for r in sample)
+    salts = F.lit([max(1, GROUPS * shares[k] // len(sample)) if sample else 1 for k in range(len(bounds) + 1)])
     order = "range", "salt", "key", "kind"
 
     def range_of(key):
@@ -141,9 +146,11 @@ def judge_urls(pages: DataFrame, rules: DataFrame, default: str = "allow") -> Da
     rules = rules.select("verdict", F.lower("host").alias("host"), "path").where("verdict IN ('allow', 'block') AND host <> '' AND path IS NOT NULL").distinct()
     rules = rules.withColumn("key", key_of(F.col("host")))
     spread = F.explode(F.sequence(range_of(F.col("key")), range_of(F.concat("key", F.lit(LAST)))))
-    rules = rules.withColumn("range", spread).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    rules = rules.withColumn("range", spread)
+    rules = rules.withColumn("salt", F.explode(F.sequence(F.lit(0), F.get(salts, F.col("range")) - 1)))
     rules = rules.select("range", "salt", "key", F.lit(0).alias("kind"), "path", F.lit(None).cast("long").alias("page_id"), "host", "verdict")
-    urls = urls.withColumn("range", range_of(F.col("key"))).withColumn("salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
+    urls = urls.withColumn("range", range_of(F.col("key")))
+    urls = urls.withColumn("salt", F.pmod(F.monotonically_increasing_id(), F.get(salts, F.col("range"))).cast("int"))
     urls = urls.select("range", "salt", "key", F.lit(1).alias("kind"), "path", "page_id", "host", F.lit(None).cast("string").alias("verdict"))
     both = rules.union(urls).select(*COLUMNS)
     return both.repartition("range", "salt").sortWithinPartitions(*order).mapInArrow(_sweep(default), SWEPT)
