@@ -9,6 +9,7 @@ verified by the matches along its diagonal.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -182,8 +183,9 @@ def _regions(bit_map, log2: int):
 
 
 def overlap(words: np.ndarray, item: np.ndarray, shift: int) -> tuple[int, int, int] | None:
-    """The best run along one diagonal (word i of ``item`` against word i + shift of ``words``):
-    (first word in ``words``, number of words, number of equal ones), if it is long and equal enough."""
+    """A run along one diagonal (word i of ``item`` against word i + shift of ``words``) that is long and
+    equal enough: (first word in ``words``, number of words, number of equal ones).  It is the run of best
+    gain, or, if that one is too short or too different, the run with most equal words of all."""
     low, high = max(0, shift), min(len(words), shift + len(item))
     if high - low < LEAST_WORDS:
         return None
@@ -193,9 +195,29 @@ def overlap(words: np.ndarray, item: np.ndarray, shift: int) -> tuple[int, int,
     end = int(gain.argmax())
     start = int(sums[: end + 1].argmin())
     matched = int(equal[start:end].sum())
-    if end - start < LEAST_WORDS or matched < LEAST_EQUAL * (end - start):
+    if end - start >= LEAST_WORDS and matched >= LEAST_EQUAL * (end - start):
+        return low + start, end - start, matched
+    found = _most_equal(equal)
+    return found and (low + found[0], *found[1:])
+
+
+def _most_equal(equal: np.ndarray) -> tuple[int, int, int] | None:
+    """(start, words, equal words) of the run with most equal words, then fewest words, then first, among
+    all runs of ``LEAST_WORDS`` or more of which ``LEAST_EQUAL`` or more are equal."""
+    n = len(equal)
+    least, whole = Fraction(str(LEAST_EQUAL)).as_integer_ratio()
+    counts = np.concatenate([[0], np.cumsum(equal)])
+    spare = whole * counts - least * np.arange(n + 1)  # a run is equal enough if this doesn't fall over it
+    highest = np.maximum.accumulate(spare[::-1])[::-1]
+    starts = np.arange(n + 1)
+    ends = np.searchsorted(-highest, -spare, side="right") - 1  # the last end at which it has not fallen
+    starts, ends = starts[ends - starts >= LEAST_WORDS], ends[ends - starts >= LEAST_WORDS]
+    if not len(starts):
         return None
-    return low + start, end - start, matched
+    matched = counts[ends] - counts[starts]
+    ends = np.maximum(starts + LEAST_WORDS, np.searchsorted(counts, counts[ends]))  # without different words at the end
+    best = np.lexsort((starts, ends - starts, -matched))[0]
+    return int(starts[best]), int(ends[best] - starts[best]), int(matched[best])
 
 
 VERIFIED = "key long, item_id long, doc_start long, item_start long, n_words long, n_equal long"
@@ -219,7 +241,8 @@ def benchmark_overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     text): key, item_id, doc_start and item_start (in words from 0), n_words, n_equal.
 
     Words are runs of digits, letters a-z (A-Z lower-cased) and non-ASCII characters.  An overlap has
-    13 or more words of which 0.8 or more are equal, without insertions.  Of items with equal words
+    13 or more words of which 0.8 or more are equal, without insertions; shorter runs of a diagonal count
+    where its run of best gain is too different.  Of items with equal words
     the smallest item_id stands for all.  Null and empty texts, and those of fewer words than 13, have
     no overlap; a null key is carried; rows of equal key are one document; empty tables on either side
     give an empty result; other columns are ignored.

@@ -265,6 +265,27 @@ def test_decontamination(spark, docs, none):
     assert decontamination.benchmark_overlaps(frame, benchmark.where("false")).count() == 0
 
 
+def test_overlap_tries_all_runs_of_a_diagonal():
+    """Against all runs by brute force; passages whose run of best gain is too different are among them."""
+    rng, lost = np.random.default_rng(6), 0
+    item = np.arange(59, dtype=np.uint64)
+    patterns = [np.arange(59) % 22 < 15, np.arange(59) % 19 < 13, np.arange(180) < 20 + 160 * (np.arange(180) % 4 < 3), np.arange(13) < 12]
+    patterns += [np.isin(np.arange(59), rng.choice(59, k, replace=False), invert=True) for k in rng.integers(8, 22, 300)]
+    for k, equal in enumerate(patterns):
+        item = np.arange(len(equal), dtype=np.uint64)
+        words = np.concatenate([np.full(3, 10**6, np.uint64), np.where(equal, item, np.uint64(10**7))])
+        runs = [(a, b - a, int(equal[a:b].sum())) for a in range(len(equal)) for b in range(a + 13, len(equal) + 1)]
+        runs = [(a, n, m) for a, n, m in runs if 10 * m >= 8 * n]
+        found = decontamination.overlap(words, item, 3)
+        assert (found is None) == (not runs), k
+        if found:
+            assert (found[0] - 3, *found[1:]) in runs
+        best = min(runs, key=lambda r: (-r[2], r[1], r[0]), default=None)
+        assert decontamination._most_equal(equal) == best
+        lost += found is not None and equal.mean() < 0.8
+    assert lost > 30 and decontamination.overlap(words[:12], item, 3) is None
+
+
 def test_hasher_cuts_long_texts(monkeypatch):
     text = (" ".join(f"a{k}" for k in range(5000))).encode()
     whole = decontamination.Hasher()(text)
