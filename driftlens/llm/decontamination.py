@@ -20,8 +20,9 @@ from pyspark.sql import functions as F
 from ..shipping import ship_package
 from .common import WORD_BYTES, broadcast_value, drop_rows, stash, table
 
-#: 1 marks a word that must be equal, 0 one that is ignored.
-MASKS = ("1111111", "110100110101", "101011001011", "1110010100011")
+#: 1 marks a word that must be equal, 0 one that is ignored.  Whatever 13 or more words of
+#: which 0.8 are equal, one of the masks fits them: any longer such run holds one of 13 to 25 words.
+MASKS = ("11101111", "11010010111", "1110110011", "1110001010011", "1100011111", "10111111")
 #: A verified overlap has this many words at least, of which this share is equal.
 LEAST_WORDS = 13
 LEAST_EQUAL = 0.8

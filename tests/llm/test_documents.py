@@ -1,6 +1,7 @@
 """Operators on documents: brute force, and edge cases that all of them must take."""
 
 import collections
+import itertools
 import re
 import zlib
 
@@ -286,6 +287,32 @@ def test_overlap_tries_all_runs_of_a_diagonal():
     assert lost > 30 and decontamination.overlap(words[:12], item, 3) is None
 
 
+def test_masks_fit_all_patterns():
+    """Every pattern of 13 to 25 words with 0.8 equal holds a mask; longer ones hold one of these, since
+    of two halves of 13 words or more one is as equal as the whole."""
+    for n in range(decontamination.LEAST_WORDS, 2 * decontamination.LEAST_WORDS):
+        changed = int(n * (1 - decontamination.LEAST_EQUAL) + 1e-9)
+        patterns = np.array([sum(1 << at for at in c) for c in itertools.combinations(range(n), changed)])
+        missed = np.ones(len(patterns), bool)
+        for mask in decontamination.MASKS:
+            for at in range(n - len(mask) + 1):
+                missed &= patterns & sum(1 << at + k for k, sign in enumerate(mask) if sign == "1") != 0
+        assert not missed.any(), n
+
+
+def test_short_items_are_found(spark):
+    """Items of 13 to 16 words with as many substitutions as the rule allows, at all places."""
+    rows, items = [], []
+    for n, changed in ((13, 2), (15, 3), (16, 3)):
+        word = [f"i{n}x{k}" for k in range(n)]
+        items.append((n, " ".join(word)))
+        for c in itertools.combinations(range(n), changed):
+            rows.append((len(rows), " ".join(["before it", *("swap" if k in c else w for k, w in enumerate(word)), "behind"])))
+    frame = spark.createDataFrame(rows, "key long, text string").repartition(4)
+    found = decontamination.benchmark_overlaps(frame, spark.createDataFrame(items, "item_id long, text string"))
+    assert found.select("key").distinct().count() == len(rows) == 78 + 455 + 560
+
+
 def test_hasher_cuts_long_texts(monkeypatch):
     text = (" ".join(f"a{k}" for k in range(5000))).encode()
     whole = decontamination.Hasher()(text)
