@@ -4,6 +4,7 @@ import duckdb
 import pandas as pd
 import pytest
 
+from driftlens import defaults
 from driftlens.plans import catalog
 
 SF = "/root/testdata/sf0.001"
@@ -40,6 +41,14 @@ def test_query(spark, duck, name):
     assert rows(got) == rows(want) and len(got)
 
 
+@pytest.mark.parametrize("name", ["tfidf_scores", "tfidf_matches", "category_matches", "row_scores", "scores_wide", "combined_scores"])
+def test_vocabulary_is_the_references(spark, duck, name):
+    """The reference keeps 50,000 terms; these tables have 21,185."""
+    sql = catalog.ORACLE_SQL[name].replace("LIMIT 20000", f"LIMIT {defaults.MAX_FEATURES}")
+    assert defaults.MAX_FEATURES == 50_000
+    assert rows(catalog.QUERIES[name](spark, SF).toPandas()) == rows(duck.sql(sql).df())
+
+
 def test_entry(spark):
     import __spark_entry__ as entry
 
