@@ -1,7 +1,7 @@
 """Secret scans: a random forest tells secrets from other long strings.
 
-Candidates are runs of 16 or more letters, digits and ``_+/=-`` with a digit.  Features are their
-length, transitions between kinds of characters, coverage by dictionary words, the document's path,
+Candidates are runs of 16 or more letters, digits and ``_+/=-`` with a digit, and whatever has 8 or more
+signs and is assigned to a secret word, such as a password.  Features are their length, transitions between kinds of characters, coverage by dictionary words, the document's path,
 and neighbouring words.  The forest is trained on labelled findings and then written as one SQL
 expression, so a scan is a projection without exchange, and a text can be redacted where it stands.
 Everything here is DataFrame and SQL expressions.
@@ -22,7 +22,10 @@ from pyspark.sql import types as T
 from .common import literal_table, table
 
 #: What a candidate looks like.
-CANDIDATE = r"(?<![A-Za-z0-9_+/=\-])(?=[A-Za-z_+/=\-]*[0-9])[A-Za-z0-9_+/=\-]{16,}"
+KEY = r"(?i:token|secret|passw|passphrase|pwd|api[ _\-]?key|access[ _\-]?key|private[ _\-]?key|client[ _\-]?key|auth(?!or)|bearer|credential)[A-Za-z0-9_\-]{0,12}"
+VALUE = r"(?<=[=:>]\s{0,2}[\"']?)(?<=" + KEY + r"[\"']?\s{0,2}(?::=|=>|=|:)\s{0,2}[\"']?)[^\s\"'<>=:][^\s\"'<>]{6,}[^\s\"'<>.,;:)\]}]"
+RUN = r"(?<![A-Za-z0-9_+/=\-])(?![A-Za-z0-9_\-]{0,24}?" + KEY + r"=[^=])(?=[A-Za-z_+/=\-]*[0-9])[A-Za-z0-9_+/=\-]{16,}"
+CANDIDATE = f"{VALUE}|{RUN}"
 #: Words whose letters in a candidate are no sign of chance.
 DICTIONARY = (
     "access account admin alpha android api app apple april archive article asset august author auth backup beta bin blog book bucket build cache "
@@ -48,7 +51,7 @@ BEFORE, AFTER = 40, 24
 TREES, DEPTH, SEED = 15, 5, 11
 MASK = "[SECRET]"
 
-FEATURES = ("length", "transitions", "distinct", "digits", "capitals", "hex", "syllables", "covered", "repeats", "example", "secret_word", "digest_word", "assigned", "quoted")
+FEATURES = ("length", "transitions", "distinct", "digits", "capitals", "hex", "syllables", "covered", "repeats", "example", "secret_word", "digest_word", "assigned", "quoted", "signs")
 FINDINGS = T.StructType([T.StructField("text", T.StringType()), T.StructField("path", T.StringType()), T.StructField("label", T.IntegerType())])
 
 
@@ -89,6 +92,31 @@ def labelled_findings(n: int = 4000, seed: int = SEED) -> list[dict]:
             line = line.upper() if rng.random() < 0.5 else line + rng.choice(["!!", "###", "%%%"])
         return line
 
+    def assigned(value: str) -> str:
+        quote = rng.choice(['"', "'", "", ""])
+        return f"{rng.choice(secret)}{rng.choice([' = ', '=', ': ', ' := '])}{quote}{value}{quote}"
+
+    def password() -> str:
+        kind = rng.randrange(4)
+        if kind == 0:
+            return some(alnum, rng.randint(8, 15))
+        if kind == 1:  # without a digit
+            return "".join(rng.choice(string.ascii_letters) for _ in range(rng.randint(10, 32)))
+        if kind == 2:
+            return rng.choice(alnum) + "".join(rng.choice(alnum + "!@#$%^&*._-") for _ in range(rng.randint(6, 22))) + rng.choice(alnum + "!#$")
+        word = rng.choice(DICTIONARY) + rng.choice(syllables)
+        return word.capitalize() + rng.choice("!@#$._") + str(rng.randint(10, 9999)) + rng.choice(["!", "#", "$x", "aQ"]) + rng.choice(alnum) + rng.choice(alnum)
+
+    def plain() -> str:
+        kind = rng.randrange(4)
+        if kind == 0:
+            return "".join(rng.choice(syllables) for _ in range(rng.randint(4, 7)))
+        if kind == 1:
+            return rng.choice(["required", "changeme", "your-password", "your_token_here", "xxxxxxxx", "********", "undefined", "password", "placeholder", "expired.", "disabled"]) + rng.choice(["", "", "-value"])
+        words = [rng.choice(DICTIONARY) for _ in range(rng.randint(2, 4))]
+        out = rng.choice("._-/").join(words)
+        return (out if kind == 2 else rng.choice(["${%s}", "os.environ[%s]", "get_%s()", "self.%s", "https://%s.org/"]) % out) + ("_value" if len(out) < 8 else "")
+
     secret = ["token", "secret", "api_key", "apikey", "password", "auth", "Bearer", "credential", "access_key", "client_key", "private_key", "db_password"]
     digest = ["commit", "sha1", "sha256", "md5", "checksum", "digest", "etag", "revision", "uuid", "build id", "version", "order", "invoice", "fingerprint"]
     placeholder = ["your_api_key_here_1234", "example_token_12345678", "changeme123changeme123", "xxxxxxxxxxxxxxxxxxxxxxx0", "0000000000000000000000", "1234567890123456789012", "test_secret_value_0001", "dummy-access-token-2024", "abcabcabcabcabcabc123123", "sample_password_value_01"]
@@ -96,7 +124,10 @@ def labelled_findings(n: int = 4000, seed: int = SEED) -> list[dict]:
     for _ in range(n):
         path = rng.choice(["src0", "src7", "app/config.py", "deploy/prod.env", "web/crawl", "notes.md", "", "lib/settings.json"])
         kind = rng.random()
-        if kind < 0.40:
+        if rng.random() < 0.25:
+            label = int(rng.random() < 0.5)
+            line = assigned(password() if label else plain())
+        elif kind < 0.40:
             line, label = joined(rng.choice(secret), random_key()), 1
         elif kind < 0.45:
             line, label = prose(2) + " " + rng.choice(["AKIA" + some(string.ascii_uppercase + string.digits, 16), "ghp_" + some(alnum, 36), "sk_live_" + some(alnum, 24)]), 1
@@ -142,6 +173,7 @@ def _features(c: Column, path: Column) -> list[Column]:
         flag(left.rlike(DIGEST_WORDS)),
         flag(left.rlike(ASSIGNED)),
         flag(right.rlike("^[\"']")),
+        _share(F.length(F.regexp_replace(text, "[A-Za-z0-9]", "")), text),
     ]
 
 

@@ -370,3 +370,14 @@ def test_secret_accuracy(spark, forest):
     rows = secret_scan.secret_findings(frame, forest).where("finding = 0").collect()
     assert len(rows) == len(findings)
     assert np.mean([r["is_secret"] == bool(findings[r["doc_id"]]["label"]) for r in rows]) > 0.93
+
+
+def test_short_and_punctuated_secrets(spark, forest):
+    """Values behind a secret word and an assignment, which need neither 16 signs nor a digit."""
+    secret = ["hX7k2Qm9", "Tr0ub4dor&3x", "qZ!8v@Lw#2p$Rk", "kQzWvXbTnRjLmPdG", "a8F.k2Lq.Zx91", "vTqXzRbKwLpNcJhGdFsY"]
+    lines = [x % v for v in secret for x in ("password = %s", 'api_key: "%s"', "db_password=%s next")]
+    plain = ["author: Christopher", "password: required", "the password is remembered by all", "token = tokenizer.encode", "secret: presentation"]
+    frame = spark.createDataFrame([(k, t, "src0") for k, t in enumerate(lines + plain)], "doc_id long, text string, source string")
+    kept = {r["doc_id"]: r["text"] for r in secret_scan.redact_secrets(frame, forest).collect()}
+    assert [kept[k] for k in range(len(lines))] == [x % "[SECRET]" for _ in secret for x in ("password = %s", 'api_key: "%s"', "db_password=%s next")]
+    assert [kept[len(lines) + k] for k in range(len(plain))] == plain
