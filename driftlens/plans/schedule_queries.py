@@ -222,7 +222,7 @@ def incident_review_left_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM ids JOIN s ON proj_id = CAST(s_suppkey AS VARCHAR)
 """)
 def project_row_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    suppliers = table(spark, sf_dir, "supplier").where("s_suppkey < 20")
+    suppliers = table(spark, sf_dir, "supplier")
     chunks = suppliers.select(
         F.concat(F.lit("supplier-"), F.col("s_suppkey").cast("string")).alias("chunk_id"), F.col("s_suppkey").cast("string").alias("project_row_id"),
         F.when(F.col("s_suppkey") % 2 == 0, F.lit("mitigation")).otherwise(F.lit("lookahead")).alias("section_type"), F.lit("").alias("section_title"),

@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 
 from driftlens import defaults
-from driftlens.plans import catalog
+from driftlens.plans import catalog, schedule_queries
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -49,6 +49,15 @@ def test_vocabulary_is_the_references(spark, duck, name):
     assert rows(catalog.QUERIES[name](spark, SF).toPandas()) == rows(duck.sql(sql).df())
 
 
+def test_all_suppliers_take_part(spark, monkeypatch):
+    """Suppliers from 20 up reach the links."""
+    real, seen = schedule_queries.table, []
+    suppliers = spark.sql("SELECT 27L AS s_suppkey, 'Supplier 27' AS s_name")
+    monkeypatch.setattr(schedule_queries, "table", lambda s, d, name: suppliers if name == "supplier" else real(s, d, name))
+    monkeypatch.setattr(schedule_queries.N, "link_project_rows", lambda incidents, chunks: seen.append(chunks) or chunks.selectExpr("'' AS incident_id", "chunk_id", "'' AS link_method", "0D AS confidence"))
+    assert [r["chunk_id"] for r in schedule_queries.project_row_links(spark, SF).collect()] == ["supplier-27"] and len(seen) == 1
+
+
 def test_entry(spark):
     import __spark_entry__ as entry
 
