@@ -1,4 +1,4 @@
-"""Shared plumbing: tables, the shared scratch folder, small literal tables, text normalisation."""
+"""Shared plumbing: tables, the shared scratch folder, small literal tables, row numbers, joins."""
 
 from __future__ import annotations
 
@@ -22,9 +22,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share.  Only where the session names none (tests) a local one is set."""
+    """The folder all executors share.  Where the session names none, a local one is set for a local
+    master (tests); on a cluster that is an error, since its machines share no local folder."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         folder = f"file://{tempfile.mkdtemp(prefix='driftlens-')}"
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
@@ -41,13 +44,12 @@ def stash(df: DataFrame, label: str) -> DataFrame:
     return out
 
 
-def unstash(df: DataFrame) -> None:
-    """Delete a table made by ``stash`` that nothing reads any more."""
-    path = getattr(df, "_stashed_at", None)
-    if path:
-        jvm = df.sparkSession._jvm
-        where = jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(where, True)
+def unstash(*tables: DataFrame) -> None:
+    """Delete tables made by ``stash`` that nothing reads any more."""
+    for df in tables:
+        if path := getattr(df, "_stashed_at", None):
+            where = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def literal_table(spark: SparkSession, rows: list[dict], schema: T.StructType) -> DataFrame:
@@ -55,22 +57,46 @@ def literal_table(spark: SparkSession, rows: list[dict], schema: T.StructType) -
     return spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(rows)), T.ArrayType(schema))))
 
 
-def words_of(text: str | None) -> list[bytes]:
-    """Maximal runs of digits, a-z and non-ASCII characters after lower-casing A-Z."""
-    return text.encode("utf-8", "replace").translate(WORD_BYTES).split() if text else []
-
-
 def broadcast_value(spark: SparkSession, value):
     context: SparkContext = spark.sparkContext
     return context.broadcast(value)
 
 
+def fresh_name(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores behind it as it takes to be no column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def numbered(df: DataFrame) -> tuple[DataFrame, str]:
+    """``df`` with a column of unique row numbers, and its name.  It is written first: numbers given to
+    rows as they are read would change with the partitions, which follow the executors at hand."""
+    name = fresh_name(df, "__row")
+    return stash(df.withColumn(name, F.monotonically_increasing_id()), "numbered"), name
+
+
 #: Keys of 8 bytes up to this number are broadcast; beyond it they are joined.
 BROADCAST_KEYS = 1_000_000
+#: Parts that a key's rows are dealt to where they are joined with a table that holds each key once.
+SALTS = 32
+
+
+def join_few(df: DataFrame, small: DataFrame, key: str) -> DataFrame:
+    """``df`` joined with ``small``, a written table that holds few rows of each ``key``.  It is broadcast up to
+    a counted size; beyond that its rows are repeated, so that a key's many rows in ``df`` are spread."""
+    if small.count() <= BROADCAST_KEYS:
+        return df.join(F.broadcast(small), key)
+    salt = fresh_name(df, "__salt")
+    spread = small.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    rest = [F.col(f"`{c}`") for c in df.columns if c != key]
+    dealt = df.withColumn(salt, F.pmod(F.xxhash64(*(rest or [F.col(key)])), F.lit(SALTS)).cast("int"))
+    return dealt.join(spread, [key, salt]).drop(salt)
 
 
 def drop_rows(df: DataFrame, gone: DataFrame, key: str) -> DataFrame:
     """``df`` without the rows whose ``key`` is in ``gone`` (one column of long numbers, no nulls)."""
     gone = stash(gone.select(key).distinct(), "dropped")
     small = gone.count() <= BROADCAST_KEYS
-    return df.join(F.broadcast(gone) if small else gone, key, "left_anti")
+    return df.join(F.broadcast(gone) if small else gone, key, "left_anti").select(*[F.col(f"`{c}`") for c in df.columns])
