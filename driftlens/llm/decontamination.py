@@ -3,7 +3,7 @@
 Fixed masks pick some word positions of a window and ignore the rest, so that a passage is found
 although words were substituted.  A bit map of fixed size, made from the benchmark's seeds, passes
 the few document windows that may match; these are joined with the seed table, and each hit is
-verified by the matches along its diagonal.
+verified by the matches along its whole diagonal.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..shipping import ship_package
-from .common import WORD_BYTES, broadcast_value, drop_rows, stash, table
+from .common import WORD_BYTES, broadcast_value, drop_rows, join_few, numbered, stash, table
 
 #: 1 marks a word that must be equal, 0 one that is ignored.  Whatever 13 or more words of
 #: which 0.8 are equal, one of the masks fits them: any longer such run holds one of 13 to 25 words.
@@ -26,11 +26,8 @@ MASKS = ("11101111", "11010010111", "1110110011", "1110001010011", "1100011111",
 #: A verified overlap has this many words at least, of which this share is equal.
 LEAST_WORDS = 13
 LEAST_EQUAL = 0.8
-#: An equal word counts 1 along a diagonal, a different one this much less.
-PENALTY = 3
-#: Words before the first and after the last hit of a region that are looked at, and its most words.
-MARGIN = 64
-REGION_WORDS = 4096
+#: Hits that are so many words apart begin a new run; runs of the same hits are looked up once.
+RUN_GAP = 64
 #: Bits of the map for each seed, and bounds of the logarithm (base 2) of its size (8 kB to 32 MB).
 BITS_A_SEED = 256
 MAP_BITS = (16, 28)
@@ -132,8 +129,8 @@ def _map_of(log2: int):
     return run
 
 
-def _regions_of(words: np.ndarray, bit_map: np.ndarray, log2: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """(first word, words with margins, seeds, their places in it) for each run of near hits."""
+def _hits(words: np.ndarray, bit_map: np.ndarray, log2: int) -> tuple[np.ndarray, np.ndarray]:
+    """(seeds, their places) of the windows that the map passes, by place."""
     hit_seeds, hit_at = [], []
     for found in seeds(words):
         keep = np.arange(len(found))
@@ -142,69 +139,55 @@ def _regions_of(words: np.ndarray, bit_map: np.ndarray, log2: int) -> Iterator[t
         hit_seeds.append(found[keep])
         hit_at.append(keep)
     hit_seeds, hit_at = np.concatenate(hit_seeds), np.concatenate(hit_at)
-    if not len(hit_at):
-        return
     order = np.lexsort((hit_seeds, hit_at))
-    hit_seeds, hit_at = hit_seeds[order], hit_at[order]
-    start = 0
-    for k in range(1, len(hit_at) + 1):
-        if k == len(hit_at) or hit_at[k] - hit_at[k - 1] > MARGIN or hit_at[k] - hit_at[start] > REGION_WORDS:
-            first = max(0, int(hit_at[start]) - MARGIN)
-            last = int(hit_at[k - 1]) + max(map(len, MASKS)) + MARGIN
-            yield first, words[first:last], hit_seeds[start:k], hit_at[start:k] - first
-            start = k
+    return hit_seeds[order], hit_at[order]
 
 
-REGIONS = "region long, key long, first long, words binary, core long, core_at int, hits array<struct<seed: long, at: int>>"
+SEARCHED = "row long, key long, words binary, runs array<struct<core: long, at: int, hits: array<struct<seed: long, at: int>>>>"
 
 
-def _regions(bit_map, log2: int):
-    """Regions of whole documents that may overlap the benchmark.  ``core`` hashes the hits and the
-    distances between them, so regions that hold the same passage share it."""
+def _searched(bit_map, log2: int):
+    """Documents with windows that may match: their words, and their hits in runs.  ``core`` hashes the hits
+    of a run and the distances between them, so runs of the same passage share it."""
     from xxhash import xxh64_intdigest
 
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.list_(pa.struct([("seed", pa.int64()), ("at", pa.int32())]))]
-    names = ["region", "key", "first", "words", "core", "core_at", "hits"]
+    hit = pa.struct([("seed", pa.int64()), ("at", pa.int32())])
+    types = [pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.struct([("core", pa.int64()), ("at", pa.int32()), ("hits", pa.list_(hit))]))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, n, bits = Hasher(), TaskContext.get().partitionId() << 40, bit_map.value
         for batch in batches:
-            rows = []
             for key, text in zip(batch.column(0), batch.column(1).cast(pa.binary()), strict=True):
                 words = hasher(text.as_py() or b"")
-                for first, part, found, at in _regions_of(words, bits, log2):
-                    core = xxh64_intdigest(found.tobytes() + (at - at[0]).astype(np.int64).tobytes()) - 2**63
-                    hits = [{"seed": s, "at": p} for s, p in zip(found.view(np.int64).tolist(), (at - at[0]).tolist(), strict=True)]
-                    rows.append((n, key.as_py(), first, part.tobytes(), core, int(at[0]), hits))
-                    n += 1
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
+                found, at = _hits(words, bits, log2)
+                if not len(at):
+                    continue
+                runs, cuts = [], [0, *(np.flatnonzero(np.diff(at) > RUN_GAP) + 1).tolist(), len(at)]
+                for low, high in zip(cuts, cuts[1:], strict=False):
+                    near = (at[low:high] - at[low]).astype(np.int32)
+                    core = xxh64_intdigest(found[low:high].tobytes() + near.tobytes()) - 2**63
+                    hits = [{"seed": s, "at": p} for s, p in zip(found[low:high].view(np.int64).tolist(), near.tolist(), strict=True)]
+                    runs.append({"core": core, "at": int(at[low]), "hits": hits})
+                row = (n, key.as_py(), words.tobytes(), runs)
+                yield pa.RecordBatch.from_arrays([pa.array([c], t) for c, t in zip(row, types, strict=True)], names=["row", "key", "words", "runs"])
+                n += 1
 
     return run
 
 
 def overlap(words: np.ndarray, item: np.ndarray, shift: int) -> tuple[int, int, int] | None:
-    """A run along one diagonal (word i of ``item`` against word i + shift of ``words``) that is long and
-    equal enough: (first word in ``words``, number of words, number of equal ones).  It is the run of best
-    gain, or, if that one is too short or too different, the run with most equal words of all."""
+    """(first word in ``words``, number of words, number of equal ones) of the overlap along one diagonal
+    (word i of ``item`` against word i + shift of ``words``): of all runs of ``LEAST_WORDS`` or more words of
+    which ``LEAST_EQUAL`` or more are equal the one with most equal words, then fewest words, then the first."""
     low, high = max(0, shift), min(len(words), shift + len(item))
     if high - low < LEAST_WORDS:
         return None
-    equal = words[low:high] == item[low - shift : high - shift]
-    sums = np.concatenate([[0], np.cumsum(np.where(equal, 1, 1 - PENALTY))])
-    gain = sums - np.minimum.accumulate(sums)
-    end = int(gain.argmax())
-    start = int(sums[: end + 1].argmin())
-    matched = int(equal[start:end].sum())
-    if end - start >= LEAST_WORDS and matched >= LEAST_EQUAL * (end - start):
-        return low + start, end - start, matched
-    found = _most_equal(equal)
+    found = _most_equal(words[low:high] == item[low - shift : high - shift])
     return found and (low + found[0], *found[1:])
 
 
 def _most_equal(equal: np.ndarray) -> tuple[int, int, int] | None:
-    """(start, words, equal words) of the run with most equal words, then fewest words, then first, among
-    all runs of ``LEAST_WORDS`` or more of which ``LEAST_EQUAL`` or more are equal."""
+    """(start, words, equal words) of the overlap on a diagonal; see ``overlap``."""
     n = len(equal)
     least, whole = Fraction(str(LEAST_EQUAL)).as_integer_ratio()
     counts = np.concatenate([[0], np.cumsum(equal)])
@@ -225,14 +208,16 @@ VERIFIED = "key long, item_id long, doc_start long, item_start long, n_words lon
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Overlaps from (key, item_id, shift, words, item_words), where ``words`` begin at the diagonal's first."""
     names = ["key", "item_id", "doc_start", "item_start", "n_words", "n_equal"]
     for batch in batches:
         out = []
         for r in batch.to_pylist():
-            words, item = np.frombuffer(r["words"], np.uint64), np.frombuffer(r["item_words"], np.uint64)
-            if found := overlap(words, item, r["shift"]):
+            words, item, shift = np.frombuffer(r["words"], np.uint64), np.frombuffer(r["item_words"], np.uint64), r["shift"]
+            if found := overlap(words, item, min(0, shift)):
                 start, n, matched = found
-                out.append((r["key"], r["item_id"], r["first"] + start, start - r["shift"], n, matched))
+                start += max(0, shift)
+                out.append((r["key"], r["item_id"], start, start - shift, n, matched))
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=names)
 
@@ -242,39 +227,50 @@ def benchmark_overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     text): key, item_id, doc_start and item_start (in words from 0), n_words, n_equal.
 
     Words are runs of digits, letters a-z (A-Z lower-cased) and non-ASCII characters.  An overlap has
-    13 or more words of which 0.8 or more are equal, without insertions; shorter runs of a diagonal count
-    where its run of best gain is too different.  Of items with equal words
-    the smallest item_id stands for all.  Null and empty texts, and those of fewer words than 13, have
-    no overlap; a null key is carried; rows of equal key are one document; empty tables on either side
-    give an empty result; other columns are ignored.
+    13 or more words of which 0.8 or more are equal, without insertions; the best has most equal words,
+    then fewest words.  Whatever the item's length, its whole extent in the document is compared.  Null
+    and empty texts, and those of fewer words than 13, have no overlap; items of equal words each have
+    their own; a null item_id is carried; a null key is carried; rows of equal key are one document;
+    empty tables on either side give an empty result; other columns are ignored.
     """
     spark = docs.sparkSession
     ship_package(spark)
-    items = benchmark.selectExpr("cast(item_id as long) item_id", "cast(text as string) text").mapInArrow(_benchmark_rows, "item_id long, words binary")
-    items = stash(items.groupBy("words").agg(F.min("item_id").alias("item_id")).select("item_id", F.col("words").alias("item_words")), "items")
-    seed_table = stash(items.mapInArrow(_seed_rows, "seed long, item_id long, item_at int"), "seeds")
+    given = benchmark.selectExpr("cast(item_id as long) item_id", "cast(text as string) text").mapInArrow(_benchmark_rows, "item_id long, words binary")
+    given = stash(given.where(F.octet_length("words") >= 8 * LEAST_WORDS).distinct(), "benchmark")
+    texts = given.select("words").distinct()
+    items = stash(texts.select(F.monotonically_increasing_id().alias("item"), F.col("words").alias("item_words")), "items")
+    names = stash(given.join(items, F.col("words") == F.col("item_words")).select("item", "item_id"), "item-names")
+    seed_table = stash(items.select(F.col("item").alias("item_id"), "item_words").mapInArrow(_seed_rows, "seed long, item_id long, item_at int"), "seeds").withColumnRenamed("item_id", "item")
     log2 = min(max(MAP_BITS[0], int(BITS_A_SEED * seed_table.count() + 1).bit_length()), MAP_BITS[1])
     maps = seed_table.select("seed").coalesce(8).mapInArrow(_map_of(log2), "bits binary").collect()  # at most 8 maps of at most 32 MB
     bit_map = np.zeros(1 << (log2 - 3), np.uint8)
     for row in maps:
         bit_map |= np.frombuffer(row["bits"], np.uint8)
     shared = broadcast_value(spark, bit_map)
-    regions = docs.selectExpr("cast(key as long) key", "cast(text as string) text").mapInArrow(_regions(shared, log2), REGIONS)
-    regions = stash(regions, "regions")
-    cores = regions.groupBy("core").agg(F.first("hits").alias("hits")).select("core", F.inline("hits"))
-    diagonals = cores.join(seed_table, "seed").select("core", "item_id", (F.col("at") - F.col("item_at")).alias("off")).distinct()
-    pairs = regions.drop("hits").join(diagonals, "core").join(items, "item_id")
-    pairs = pairs.select("key", "item_id", "first", "words", "item_words", (F.col("off") + F.col("core_at")).alias("shift"))
+    searched = docs.selectExpr("cast(key as long) key", "cast(text as string) text").mapInArrow(_searched(shared, log2), SEARCHED)
+    searched = stash(searched, "searched")
+    runs = searched.select("row", F.inline("runs"))
+    cores = runs.groupBy("core").agg(F.first("hits").alias("hits")).select("core", F.inline("hits"))
+    diagonals = join_few(cores, seed_table, "seed").select("core", "item", (F.col("at") - F.col("item_at")).alias("off")).distinct()
+    diagonals = stash(diagonals, "diagonals")
+    pairs = join_few(runs.drop("hits"), diagonals, "core").select("row", "item", (F.col("off") + F.col("at")).alias("shift")).distinct()
+    # of a document only the item's extent along the diagonal is sent
+    pairs = join_few(pairs.join(searched.select("row", "key", "words"), "row"), items, "item")
+    extent = F.expr("substring(words, cast(8 * greatest(shift, 0) + 1 as int), length(item_words))")
+    pairs = pairs.select("key", F.col("item").alias("item_id"), "shift", extent.alias("words"), "item_words")
     best = F.max_by(F.struct("doc_start", "item_start", "n_words", "n_equal"), F.struct("n_equal", -F.col("n_words"), -F.col("doc_start"), -F.col("item_start")))
-    return pairs.mapInArrow(_verify, VERIFIED).groupBy("key", "item_id").agg(best.alias("b")).select("key", "item_id", "b.*")
+    found = pairs.mapInArrow(_verify, VERIFIED).groupBy("key", F.col("item_id").alias("item")).agg(best.alias("b"))
+    return join_few(found, names, "item").select("key", "item_id", "b.*")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the rows that overlap an item of ``benchmark``; all columns stay as they are."""
-    spare = "__row"
-    numbered = docs.withColumn(spare, F.monotonically_increasing_id())
-    found = benchmark_overlaps(numbered.select(F.col(spare).alias("key"), "text"), benchmark)
-    return drop_rows(numbered, found.select(F.col("key").alias(spare)), spare).drop(spare)
+    """``docs`` without the rows that overlap an item of ``benchmark``; all columns stay as they are.
+
+    Rows are judged each: repeated rows go or stay together, null and empty texts stay, and with an
+    empty table on either side ``docs`` stays as it is."""
+    rows, spare = numbered(docs)
+    found = benchmark_overlaps(rows.select(F.col(spare).alias("key"), "text"), benchmark)
+    return drop_rows(rows, found.select(F.col("key").alias(spare)), spare).drop(spare)
 
 
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
