@@ -23,23 +23,23 @@ QUERY_BLOCK, CANDIDATE_BLOCK = 512, 4096
 #: Parts a range is cut into in each round.
 PARTS = 1024
 
-#: Components this large and larger leave the exact range of integer sums.
-COMPONENT_LIMIT = 2.0**28
+#: Components and scores stay within this; what lies beyond counts as this, with its sign.
+MOST = 2**62 - 1
 
-CANDIDATES = "ids binary, vectors binary, dims int, most long"
+CANDIDATES = "rows binary, ids binary, vectors binary, dims int, most double"
 
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Candidate rows (vec_id, v) in blocks: ids and vectors as 64-bit numbers, shorter vectors filled
-    up with zeros, and the largest sum of squares in the block."""
+    """Candidates (row, vec_id, v) in blocks: row numbers, ids and vectors as 64-bit numbers, shorter
+    vectors filled up with zeros, and the largest sum of squares in the block."""
     for batch in batches:
         for at in range(0, batch.num_rows, CANDIDATE_BLOCK):
             part = batch.slice(at, CANDIDATE_BLOCK)
-            vectors = _filled(part.column(1).to_pylist())
-            most = int(np.max(np.sum(vectors.astype(float) ** 2, axis=1), initial=0))
-            ids = part.column(0).to_numpy(zero_copy_only=False).astype("<i8")
-            columns = [pa.array([ids.tobytes()], pa.binary()), pa.array([vectors.tobytes()], pa.binary()), pa.array([vectors.shape[1]], pa.int32()), pa.array([most], pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, names=["ids", "vectors", "dims", "most"])
+            vectors = _filled(part.column(2).to_pylist())
+            most = float(np.max(np.sum(vectors.astype(float) ** 2, axis=1), initial=0))
+            rows, ids = (part.column(k).to_numpy(zero_copy_only=False).astype("<i8").tobytes() for k in (0, 1))
+            columns = [pa.array([x], pa.binary()) for x in (rows, ids, vectors.tobytes())] + [pa.array([vectors.shape[1]], pa.int32()), pa.array([most])]
+            yield pa.RecordBatch.from_arrays(columns, names=["rows", "ids", "vectors", "dims", "most"])
 
 
 def _filled(rows: list[list[int]]) -> np.ndarray:
@@ -50,107 +50,122 @@ def _filled(rows: list[list[int]]) -> np.ndarray:
 
 
 def _scores(q: np.ndarray, c: np.ndarray) -> np.ndarray:
-    """Exact integer inner products; in floating point where no sum can leave its exact range."""
+    """Exact integer inner products: in floating point or 64-bit numbers where no sum can leave their
+    exact range, else in unbounded ones, cut at ``MOST``."""
     dims = min(q.shape[1], c.shape[1])
     q, c = q[:, :dims], c[:, :dims]
-    if dims * float(np.abs(q).max(initial=0)) * float(np.abs(c).max(initial=0)) < 2.0**53:
+    largest = dims * int(np.abs(q).max(initial=0)) * int(np.abs(c).max(initial=0))
+    if largest < 2**53:
         return (q.astype(float) @ c.astype(float).T).astype(np.int64)
-    return q @ c.T
+    if largest <= MOST:
+        return q @ c.T
+    return np.clip(q.astype(object) @ c.astype(object).T, -MOST, MOST).astype(np.int64)
 
 
 def _pairs(batches: Iterator[pa.RecordBatch]):
-    """For each pair of blocks: query ids, their bounds, candidate ids, scores, and which pairs count
-    (all but a query's own row)."""
+    """For each pair of blocks: query rows, their bounds, candidate ids, scores, and which pairs count
+    (all but a query's own row).  Pairs of which no score can reach its query's bound are left out."""
     for batch in batches:
         for k in range(batch.num_rows):
             r = batch.slice(k, 1).to_pylist()[0]
-            q_ids, low, width = (np.array([x[name] for x in r["queries"]], dtype=np.int64) for name in ("query_id", "low", "width"))
-            c_ids = np.frombuffer(r["ids"], "<i8")
+            q_rows, low, width = (np.array([x[name] for x in r["queries"]], dtype=np.int64) for name in ("row", "low", "width"))
+            q = _filled([x["v"] for x in r["queries"]])
+            reach = np.sqrt(np.sum(q.astype(float) ** 2, axis=1) * r["most"]) * (1 + 1e-9) + 1
+            if (reach < low).all():
+                continue
+            c_rows, c_ids = np.frombuffer(r["rows"], "<i8"), np.frombuffer(r["ids"], "<i8")
             vectors = np.frombuffer(r["vectors"], "<i8").reshape(len(c_ids), r["dims"])
-            scores = _scores(_filled([x["v"] for x in r["queries"]]), vectors)
-            yield q_ids, low, width, c_ids, scores, q_ids[:, None] != c_ids[None]
+            yield q_rows, low, width, c_ids, _scores(q, vectors), q_rows[:, None] != c_rows[None]
 
 
 def _histogram(k: int):
-    """(query_id, part, n) of each pair of blocks.  Parts below the one that holds a block's own k-th
+    """(row, part, n) of each pair of blocks.  Parts below the one that holds a block's own k-th
     score cannot hold the k-th score of all, so they are left out: at most k rows for each query."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for q_ids, low, width, _, scores, counts in _pairs(batches):
+        for q_rows, low, width, _, scores, counts in _pairs(batches):
             part = np.minimum((scores - low[:, None]) // width[:, None], PARTS)  # PARTS: above the range
             part[~counts | (part < 0)] = -1
             at = max(0, part.shape[1] - k)
             kth = np.partition(part, at, axis=1)[:, at]
             rows, columns = np.nonzero((part >= 0) & (part >= kth[:, None]))
             both, n = np.unique(rows * (PARTS + 1) + part[rows, columns], return_counts=True)
-            columns = [pa.array(q_ids[both // (PARTS + 1)]), pa.array((both % (PARTS + 1)).astype(np.int32)), pa.array(n.astype(np.int64))]
-            yield pa.RecordBatch.from_arrays(columns, names=["query_id", "part", "n"])
+            columns = [pa.array(q_rows[both // (PARTS + 1)]), pa.array((both % (PARTS + 1)).astype(np.int32)), pa.array(n.astype(np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, names=["row", "part", "n"])
 
     return run
 
 
 def _selected(k: int):
-    """(query_id, vec_id, score) of scores from each query's k-th score up; of a block the first k."""
+    """(row, vec_id, score) of scores from each query's k-th score up; of a block the first k."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for q_ids, low, _, c_ids, scores, counts in _pairs(batches):
+        for q_rows, low, _, c_ids, scores, counts in _pairs(batches):
             rows, columns = np.nonzero(counts & (scores >= low[:, None]))
             order = np.lexsort((c_ids[columns], -scores[rows, columns], rows))
             rows, columns = rows[order], columns[order]
             first = np.arange(len(rows)) - np.searchsorted(rows, rows) < k
             rows, columns = rows[first], columns[first]
-            yield pa.RecordBatch.from_arrays([pa.array(q_ids[rows]), pa.array(c_ids[columns]), pa.array(scores[rows, columns])], names=["query_id", "vec_id", "score"])
+            yield pa.RecordBatch.from_arrays([pa.array(q_rows[rows]), pa.array(c_ids[columns]), pa.array(scores[rows, columns])], names=["row", "vec_id", "score"])
 
     return run
 
 
 def integer_vectors(embeddings: DataFrame, scale: int = 256) -> DataFrame:
-    """(vec_id, v): each component x as floor(scale * x).  Left out are null ids, null vectors, those
-    with null or non-finite components, and those with components of 2**28 or more once scaled."""
+    """(row, vec_id, v): each component x as floor(scale * x), and a number for each row; written, so that
+    numbers stay what they are.  Left out are null ids, null vectors and those with null or non-finite
+    components.  Scaled components beyond 2**62 - 1 count as that."""
     x = F.col("embedding")
-    whole = F.transform(x, lambda e: F.floor(e.cast("double") * scale).cast("long"))
-    fine = F.forall(x, lambda e: F.coalesce(F.abs(e.cast("double")) * scale < COMPONENT_LIMIT, F.lit(False)))
-    return embeddings.where(F.col("vec_id").isNotNull() & x.isNotNull() & fine).select(F.col("vec_id").cast("long").alias("vec_id"), whole.alias("v"))
+    whole = F.transform(x, lambda e: _whole(e.cast("double") * scale))
+    fine = F.forall(x, lambda e: F.coalesce(~F.isnan(e.cast("double")) & (F.abs(e.cast("double")) < float("inf")), F.lit(False)))
+    rows = embeddings.where(F.col("vec_id").isNotNull() & x.isNotNull() & fine)
+    return stash(rows.select(F.monotonically_increasing_id().alias("row"), F.col("vec_id").cast("long").alias("vec_id"), whole.alias("v")), "vectors")
+
+
+def _whole(x):
+    """The largest whole number up to a double, as a long; beyond 2**62 that number with its sign."""
+    edge = 2.0**62
+    return F.when(x >= edge, F.lit(MOST)).when(x <= -edge, F.lit(-MOST)).otherwise(F.floor(x))
 
 
 def top_k(queries: DataFrame, candidates: DataFrame, k: int = 5) -> DataFrame:
-    """(query_id, rank, vec_id, score): for each query its ``k`` highest inner products over all rows of
-    ``candidates`` whose id is another, all if there are fewer; ties go to the smaller vec_id.
+    """(query_id, rank, vec_id, score): for each row of ``queries`` its ``k`` highest inner products over all
+    rows of ``candidates`` but its own, all if there are fewer; ties go to the smaller vec_id.
 
-    Both tables are (vec_id, v) as from ``integer_vectors``.  Of rows of one id the smallest vector
-    stands for all.  Shorter vectors count as if filled up with zeros.  Empty tables give an empty
-    result.  All pairs are scored, block by block, in each round; how many rounds there are depends
-    on the range of scores alone.
+    Both tables are (row, vec_id, v) as from ``integer_vectors``; a query's own row is the one of its
+    ``row``.  Rows of one id are rows of their own on both sides.  Shorter vectors count as if filled up
+    with zeros.  Scores beyond 2**62 - 1 count as that.  Empty tables give an empty result.  All pairs are
+    scored, block by block, in each round; how many rounds there are depends on the range of scores alone.
     """
     ship_package(queries.sparkSession)
-    q, c = (df.groupBy("vec_id").agg(F.min("v").alias("v")) for df in (queries, candidates))
-    c = stash(c.mapInArrow(_packed, CANDIDATES), "candidates")
+    c = stash(candidates.select("row", "vec_id", "v").mapInArrow(_packed, CANDIDATES), "candidates")
     number = F.monotonically_increasing_id()
     block = F.shiftright(number, 33) * F.lit(1 << 24) + F.floor(number.bitwiseAND(F.lit((1 << 33) - 1)) / QUERY_BLOCK)
-    q = stash(q.select(F.col("vec_id").alias("query_id"), "v", block.alias("block")), "queries")
+    q = stash(queries.select("row", F.col("vec_id").alias("query_id"), "v", block.alias("block")), "queries")
     squares = F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x)
-    longest = (q.agg(F.max(squares)).first()[0] or 0) ** 0.5 * float(c.agg(F.max("most")).first()[0] or 0) ** 0.5
-    reach = int(longest * (1 + 1e-9)) + 1  # no score lies beyond it
+    longest = (q.agg(F.max(squares)).first()[0] or 0) ** 0.5 * (c.agg(F.max("most")).first()[0] or 0) ** 0.5
+    reach = min(int(longest * (1 + 1e-9)) + 1, MOST)  # no score lies beyond it
     width = -(-(2 * reach + 1) // PARTS)
-    bounds = q.select("query_id", F.lit(-reach).cast("long").alias("low"), F.lit(width).cast("long").alias("width"))
+    bounds = q.select("row", F.lit(-reach).cast("long").alias("low"), F.lit(width).cast("long").alias("width"))
 
     def against_all(bounds: DataFrame) -> DataFrame:
         """The stated queries in blocks, each with every block of candidates."""
-        blocks = q.join(bounds, "query_id").groupBy("block").agg(F.collect_list(F.struct("query_id", "v", "low", "width")).alias("queries"))
-        return c.drop("most").crossJoin(blocks.select("queries"))
+        blocks = q.join(bounds, "row").groupBy("block").agg(F.collect_list(F.struct("row", "v", "low", "width")).alias("queries"))
+        return c.crossJoin(blocks.select("queries"))
 
     while True:
-        parts = against_all(bounds).mapInArrow(_histogram(k), "query_id long, part int, n long").groupBy("query_id", "part").agg(F.sum("n").alias("n"))
-        upto = F.sum("n").over(Window.partitionBy("query_id").orderBy(F.desc("part")))
-        kth = parts.withColumn("upto", upto).where((F.col("upto") >= k) & (F.col("upto") - F.col("n") < k)).select("query_id", "part")
+        parts = against_all(bounds).mapInArrow(_histogram(k), "row long, part int, n long").groupBy("row", "part").agg(F.sum("n").alias("n"))
+        upto = F.sum("n").over(Window.partitionBy("row").orderBy(F.desc("part")))
+        kth = parts.withColumn("upto", upto).where((F.col("upto") >= k) & (F.col("upto") - F.col("n") < k)).select("row", "part")
         low = F.coalesce(F.col("low") + F.col("part") * F.col("width"), F.lit(-reach))  # fewer than k rows: all of them
-        bounds = stash(bounds.join(kth, "query_id", "left").select("query_id", low.alias("low"), F.lit(max(1, -(-width // PARTS))).cast("long").alias("width")), "bounds")
+        bounds = stash(bounds.join(kth, "row", "left").select("row", low.alias("low"), F.lit(max(1, -(-width // PARTS))).cast("long").alias("width")), "bounds")
         if width == 1:
             break
         width = max(1, -(-width // PARTS))
-    found = against_all(bounds).mapInArrow(_selected(k), "query_id long, vec_id long, score long")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    found = against_all(bounds).mapInArrow(_selected(k), "row long, vec_id long, score long")
+    rank = F.row_number().over(Window.partitionBy("row").orderBy(F.desc("score"), "vec_id"))
+    ranked = found.withColumn("rank", rank).where(F.col("rank") <= k)
+    return ranked.join(q.select("row", "query_id"), "row").select("query_id", "rank", "vec_id", "score")
 
 
 def op3_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
