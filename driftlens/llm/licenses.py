@@ -47,8 +47,9 @@ IDENTIFIER_FAMILIES = {
     "cc0": "cc0",
     "cc-by": "cc-by",
 }
-#: Evidence of a base or further notice phrase, of an identifier, and of a tag without a sound expression.
-PHRASE_WEIGHT, IDENTIFIER_WEIGHT, BARE_TAG_WEIGHT = 0.6, 0.95, 0.3
+#: Evidence of a base or further notice phrase, of an expression that needs a known licence
+#: whatever is chosen, of one that only offers it, and of a tag without a sound expression.
+PHRASE_WEIGHT, NEEDED_WEIGHT, OFFERED_WEIGHT, BARE_TAG_WEIGHT = 0.6, 0.95, 0.8, 0.3
 PRECEDENCE = {"or": 1, "and": 2, "with": 3}
 EXPRESSION_TOKEN = re.compile(r"[ \t]*(\(|\)|[a-z0-9][a-z0-9.+\-]*)", re.ASCII)
 
@@ -139,10 +140,11 @@ def _automaton():
 
 
 def scan(raw: bytes, automaton) -> tuple:
-    """(n_words, n_base, first_word, last_word, base_labels, labels, score) of one UTF-8 text."""
+    """(n_words, n_base, first_word, last_word, base_labels, labels, score, needed_labels, exceptions) of one UTF-8 text."""
     words = raw.translate(WORD_BYTES).split()
     line = " " + b" ".join(words).decode("latin-1") + " "
     places, base, labels, doubt, tags = [], set(), set(), 1.0, 0
+    all_needed, exceptions = set(), set()
     counted, upto = 0, 0
     for end, phrase in automaton.iter(line):
         start = end - len(phrase) - 1  # the blank before the phrase
@@ -161,11 +163,14 @@ def scan(raw: bytes, automaton) -> tuple:
         for m in re.finditer(rb"spdx[^0-9a-z\x80-\xff]+license[^0-9a-z\x80-\xff]+identifier[ \t]*:?", lowered):
             stop = lowered.find(b"\n", m.end())
             value = parse_expression(lowered[m.end() : stop if stop >= 0 else len(lowered)].decode("utf-8", "replace"))
-            known = {family(x) for x in value.identifiers} - {None} if value else set()
-            labels |= known
-            doubt *= 1 - (IDENTIFIER_WEIGHT if known else BARE_TAG_WEIGHT)
+            offered, needed = ({family(x) for x in part} - {None} for part in (value.identifiers, value.needed)) if value else (set(), set())
+            labels |= offered
+            all_needed |= needed
+            exceptions |= value.exceptions if value else set()
+            doubt *= 1 - (NEEDED_WEIGHT if needed else OFFERED_WEIGHT if offered else BARE_TAG_WEIGHT)
     labels |= base
-    return (len(words), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(base)), ",".join(sorted(labels)), 1 - doubt)
+    joined = [",".join(sorted(x)) for x in (base, labels, all_needed, exceptions)]
+    return (len(words), len(places), min(places, default=None), max(places, default=None), *joined[:2], 1 - doubt, *joined[2:])
 
 
 def license_scan(docs: DataFrame) -> DataFrame:
@@ -174,22 +179,25 @@ def license_scan(docs: DataFrame) -> DataFrame:
     n_words counts the words of the whole text; n_base, first_word and last_word the places of the
     base phrases (the latter two null if there is none); base_labels and labels are sorted, distinct
     and comma-joined (empty if there are none); score, from 0 to 1, is one minus the product of the
-    remaining doubts after each finding.  A null text counts as empty, a null doc_id stays null,
+    remaining doubts after each finding.  Expressions behind tags are evaluated: all licences they name
+    are labels, needed_labels are those that some expression needs whichever of its choices is taken
+    (both sides of ``and``, what the sides of ``or`` share), and exceptions what stands behind ``with``.
+    A null text counts as empty, a null doc_id stays null,
     repeated rows are scanned each, and an empty table gives an empty result.
     """
     ship_package(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = _automaton()
-        types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.float64()]
-        names = ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"]
+        types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.float64(), pa.string(), pa.string()]
+        names = ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "needed_labels", "exceptions"]
         for batch in batches:
             texts = batch.column(1).cast(pa.binary())
             found = [scan(t.as_py() or b"", automaton) for t in texts]
             columns = [pa.array(c, t) for c, t in zip(zip(*found, strict=True), types, strict=True)] if found else [pa.array([], t) for t in types]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=names)
 
-    schema = "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double"
+    schema = "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, needed_labels string, exceptions string"
     return docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text").mapInArrow(run, schema)
 
 
