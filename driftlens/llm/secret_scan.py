@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import literal_table, table
+from .common import fresh_name, literal_table, table
 
 #: What a candidate looks like.
 KEY = r"(?i:token|secret|passw|passphrase|pwd|api[ _\-]?key|access[ _\-]?key|private[ _\-]?key|client[ _\-]?key|auth(?!or)|bearer|credential)[A-Za-z0-9_\-]{0,12}"
@@ -89,7 +89,7 @@ def labelled_findings(n: int = 4000, seed: int = SEED) -> list[dict]:
         quote = rng.choice(['"', '"', "'", ""])
         line = f"{word}{rng.choice([' = ', '=', ': ', ' := ', ' '])}{quote}{value}{quote}"
         if rng.random() < 0.2:
-            line = line.upper() if rng.random() < 0.5 else line + rng.choice(["!!", "###", "%%%"])
+            line = line.upper() if rng.random() < 0.5 else line + rng.choice([";", ",", " \\"])
         return line
 
     def assigned(value: str) -> str:
@@ -112,7 +112,7 @@ def labelled_findings(n: int = 4000, seed: int = SEED) -> list[dict]:
         if kind == 0:
             return "".join(rng.choice(syllables) for _ in range(rng.randint(4, 7)))
         if kind == 1:
-            return rng.choice(["required", "changeme", "your-password", "your_token_here", "xxxxxxxx", "********", "undefined", "password", "placeholder", "expired.", "disabled"]) + rng.choice(["", "", "-value"])
+            return rng.choice(["required", "changeme", "your-password", "your_token_here", "xxxxxxxx", "********", "undefined", "password", "placeholder", "expired-now", "disabled"]) + rng.choice(["", "", "-value"])
         words = [rng.choice(DICTIONARY) for _ in range(rng.randint(2, 4))]
         out = rng.choice("._-/").join(words)
         return (out if kind == 2 else rng.choice(["${%s}", "os.environ[%s]", "get_%s()", "self.%s", "https://%s.org/"]) % out) + ("_value" if len(out) < 8 else "")
@@ -122,7 +122,7 @@ def labelled_findings(n: int = 4000, seed: int = SEED) -> list[dict]:
     placeholder = ["your_api_key_here_1234", "example_token_12345678", "changeme123changeme123", "xxxxxxxxxxxxxxxxxxxxxxx0", "0000000000000000000000", "1234567890123456789012", "test_secret_value_0001", "dummy-access-token-2024", "abcabcabcabcabcabc123123", "sample_password_value_01"]
     out = []
     for _ in range(n):
-        path = rng.choice(["src0", "src7", "app/config.py", "deploy/prod.env", "web/crawl", "notes.md", "", "lib/settings.json"])
+        path = rng.choice(["app/config.py", "deploy/prod.env", "web/index.html", "notes.md", "", "lib/settings.json"])
         kind = rng.random()
         if rng.random() < 0.25:
             label = int(rng.random() < 0.5)
@@ -184,20 +184,39 @@ def _candidates(text: Column) -> Column:
     return F.transform(found, lambda m, i: F.struct(m.alias("text"), F.get(between, i).alias("before"), F.get(between, i + 1).alias("after")))
 
 
-def train_forest(spark: SparkSession, findings: DataFrame | None = None) -> list[tuple]:
-    """Trees as nested tuples: (feature, threshold, left, right), or a leaf's probability.
+def featured(findings: DataFrame) -> DataFrame:
+    """(label, one column for each feature) of the first candidate of each of ``findings`` (text, path, label);
+    rows with another label than 0 or 1, and those without a candidate, are left out."""
+    path = F.coalesce("path", F.lit(""))
+    first = findings.select(path.alias("path"), "label", F.get(_candidates(F.col("text")), F.lit(0)).alias("c")).where("c IS NOT NULL AND label IN (0, 1)")
+    return first.select(F.col("label").cast("double").alias("label"), *[f.alias(name) for f, name in zip(_features(F.col("c"), F.col("path")), FEATURES, strict=True)])
 
-    ``findings`` (text, path, label) may be the caller's own; the first candidate of each text counts."""
-    from pyspark.ml.classification import RandomForestClassifier
+
+def _assembled(rows: DataFrame) -> DataFrame:
     from pyspark.ml.feature import VectorAssembler
 
+    return VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(rows)
+
+
+def fit_forest(rows: DataFrame):
+    """The forest of Spark's own library, on ``featured`` findings (a bounded sample, hence one partition)."""
+    from pyspark.ml.classification import RandomForestClassifier
+
+    rows = _assembled(rows).select("features", "label").coalesce(1)
+    return RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=SEED, featureSubsetStrategy="sqrt").fit(rows)
+
+
+def train_forest(spark: SparkSession, findings: DataFrame | None = None) -> list[tuple]:
+    """Trees as nested tuples: (feature, threshold, left, right), or a leaf's probability.
+
+    ``findings`` (text, path, label) may be the caller's own; without them the generated ones are used."""
     if findings is None:
         findings = literal_table(spark, labelled_findings(), FINDINGS)
-    path = F.coalesce("path", F.lit(""))
-    first = findings.select(path.alias("path"), "label", F.get(_candidates(F.col("text")), F.lit(0)).alias("c")).where("c IS NOT NULL AND label IN (0, 1)")
-    rows = first.select(F.col("label").cast("double").alias("label"), *[f.alias(name) for f, name in zip(_features(F.col("c"), F.col("path")), FEATURES, strict=True)])
-    rows = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(rows).select("features", "label").coalesce(1)
-    model = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=SEED, featureSubsetStrategy="sqrt").fit(rows)
+    return trees_of(fit_forest(featured(findings)))
+
+
+def trees_of(model) -> list[tuple]:
+    """A fitted forest's trees as nested tuples."""
 
     def walk(node):
         if node.subtreeDepth() == 0:
@@ -221,13 +240,13 @@ def _forest(features: Column, trees: list[tuple]) -> Column:
     return reduce(lambda a, b: a + b, map(grown, trees)) / F.lit(float(len(trees)))
 
 
-def _scored(docs: DataFrame, trees: list[tuple], text: str, path: str | None) -> DataFrame:
-    """``docs`` with ``__found``: an array of (text, before, after, score) for each row, empty without candidates."""
+def _scored(docs: DataFrame, trees: list[tuple], text: str, path: str | None, found: str = "__found") -> DataFrame:
+    """``docs`` with ``found``: an array of (text, before, after, score) for each row, null without candidates."""
     where = F.coalesce(F.col(path).cast("string"), F.lit("")) if path else F.lit("")
     fields = lambda c: [f.alias(n) for f, n in zip(_features(c, where), FEATURES, strict=True)]
-    featured = F.transform(_candidates(F.col(text)), lambda c: F.struct(c["text"].alias("text"), c["before"].alias("before"), c["after"].alias("after"), F.struct(*fields(c)).alias("f")))
-    scored = F.transform(featured, lambda c: F.struct(c["text"].alias("text"), c["before"].alias("before"), c["after"].alias("after"), _forest(c["f"], trees).alias("score")))
-    return docs.withColumn("__found", F.when(F.col(text).rlike(CANDIDATE), scored))
+    judged = F.transform(_candidates(F.col(text)), lambda c: F.struct(c["text"].alias("text"), c["before"].alias("before"), c["after"].alias("after"), F.struct(*fields(c)).alias("f")))
+    scored = F.transform(judged, lambda c: F.struct(c["text"].alias("text"), c["before"].alias("before"), c["after"].alias("after"), _forest(c["f"], trees).alias("score")))
+    return docs.withColumn(found, F.when(F.col(text).rlike(CANDIDATE), scored))
 
 
 def secret_findings(docs: DataFrame, trees: list[tuple]) -> DataFrame:
@@ -262,12 +281,15 @@ def secret_findings(docs: DataFrame, trees: list[tuple]) -> DataFrame:
 
 
 def redact_secrets(docs: DataFrame, trees: list[tuple], path: str | None = "source") -> DataFrame:
-    """``docs`` with every secret in ``text`` replaced by ``[SECRET]``; all rows and other columns stay."""
-    columns = docs.columns
-    scored = _scored(docs, trees, "text", path if path in columns else None)
-    kept = F.transform("__found", lambda c: F.concat(c["before"], F.when(c["score"] >= 0.5, F.lit(MASK)).otherwise(c["text"])))
-    text = F.concat(F.array_join(kept, ""), F.element_at("__found", -1)["after"])
-    return scored.withColumn("text", F.when(F.exists("__found", lambda c: c["score"] >= 0.5), text).otherwise(F.col("text"))).select(*[F.col(f"`{c}`") for c in columns])
+    """``docs`` with every secret in ``text`` replaced by ``[SECRET]``; all rows and other columns stay.
+
+    Null and empty texts, and those without a candidate, stay as they are; long texts are scanned whole;
+    repeated rows are treated alike; an empty table gives an empty result."""
+    columns, found = docs.columns, fresh_name(docs, "__found")
+    scored = _scored(docs, trees, "text", path if path in columns else None, found)
+    kept = F.transform(found, lambda c: F.concat(c["before"], F.when(c["score"] >= 0.5, F.lit(MASK)).otherwise(c["text"])))
+    text = F.concat(F.array_join(kept, ""), F.element_at(found, -1)["after"])
+    return scored.withColumn("text", F.when(F.exists(found, lambda c: c["score"] >= 0.5), text).otherwise(F.col("text"))).select(*[F.col(f"`{c}`") for c in columns])
 
 
 def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
