@@ -31,8 +31,8 @@ REMEMBERED_WORDS = 800_000
 REMEMBERED_LENGTH = 64
 #: Bytes of text that are tokenised together.
 BATCH_BYTES = 4_000_000
-#: Groups that pieces of one length are dealt to when they are ranked.
-RANK_CELLS = 64
+#: Pieces of one length are ranked in groups of about so many.
+RANK_ROWS = 500_000
 
 PIECES = T.StructType(
     [
@@ -237,29 +237,29 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
     Every piece gets a place of its own, repeated rows too; sequences have no gaps and hold at
     most ``capacity`` tokens.  An empty table gives an empty result.  Lengths must lie in
-    1 .. capacity.  ``sequence_id`` numbers the bins from 0 in the order they were planned.
+    1 .. capacity; other columns may be null and are carried.  Columns that ``PIECES`` does not name
+    are dropped.  ``sequence_id`` numbers the bins from 0 in the order they were planned.
     """
     spark = pieces.sparkSession
-    pieces = stash(pieces.withColumn("__id", F.monotonically_increasing_id()), "pieces")
-    cell = F.pmod(F.xxhash64("__id"), F.lit(RANK_CELLS)).cast("int")
-    pieces = pieces.withColumn("__cell", cell)
-    by_cell = pieces.groupBy("length", "__cell").agg(F.count("*").alias("__n"))  # at most capacity x RANK_CELLS rows
-    histogram = {r["length"]: r["n"] for r in by_cell.groupBy("length").agg(F.sum("__n").alias("n")).collect()}  # at most capacity rows
+    pieces = stash(pieces.select(*PIECES.fieldNames(), F.monotonically_increasing_id().alias("__id")), "pieces")
+    histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}  # at most capacity rows
     places = _places(slack_plan(histogram, capacity))
     runs: dict[int, list] = {}
     for p in places:
         runs.setdefault(p["length"], []).append(p)
     by_length = literal_table(
         spark,
-        [{"length": k, "runs": v} for k, v in runs.items()],
-        T.StructType([T.StructField("length", T.LongType()), T.StructField("runs", T.ArrayType(PLACES))]),
+        [{"length": k, "cells": -(-histogram[k] // RANK_ROWS), "runs": v} for k, v in runs.items()],
+        T.StructType([T.StructField("length", T.LongType()), T.StructField("cells", T.LongType()), T.StructField("runs", T.ArrayType(PLACES))]),
     )
+    pieces = pieces.join(F.broadcast(by_length.select("length", "cells")), "length").withColumn("__cell", F.pmod(F.xxhash64("__id"), "cells")).drop("cells")
+    by_cell = pieces.groupBy("length", "__cell").agg(F.count("*").alias("__n"))  # one row for each cell: few beside the pieces
     upto = Window.partitionBy("length").orderBy("__cell").rowsBetween(Window.unboundedPreceding, -1)
     starts = by_cell.select("length", "__cell", F.coalesce(F.sum("__n").over(upto), F.lit(0)).alias("__start"))
     inside = Window.partitionBy("length", "__cell").orderBy("__id")
     ranked = (
         pieces.withColumn("__rank", F.row_number().over(inside))
-        .join(F.broadcast(starts), ["length", "__cell"])
+        .join(F.broadcast(starts), ["length", "__cell"])  # capacity + pieces / RANK_ROWS rows
         .withColumn("__rank", F.col("__start") + F.col("__rank") - 1)
         .join(F.broadcast(by_length), "length")
     )
@@ -277,8 +277,8 @@ def pack_documents(docs: DataFrame, tokenizer_path: str | None = None, capacity:
     """Pack ``docs`` (doc_id, text; other columns are ignored) into few sequences of at most ``capacity`` tokens.
 
     A null or empty text is a document of the closing id alone; a null doc_id stays null; repeated
-    rows are packed each.  Longer documents are cut into full pieces, of which the first may be
-    shorter.  Ids depend on the text alone, and strings of special tokens are ordinary text.
+    rows are packed each.  Longer documents, however long, are cut into full pieces, of which the first
+    may be shorter; an empty table gives an empty result.  Ids depend on the text alone, and strings of special tokens are ordinary text.
     """
     if tokenizer_path is None:
         import public_tokenizers

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import literal_table, stash, table
+from .common import fresh_name, literal_table, stash, table
 
 #: Rows of the matrix: input partitions beyond this number share one by remainder.
 MAX_SOURCES = 1024
@@ -61,50 +61,49 @@ def shuffle_into_shards(df: DataFrame, n_shards: int, seed: int = 20_250_101) ->
 
     Shard sizes differ by at most one; every row gets exactly one place, repeated rows each their
     own.  Null values and very long texts are carried as they are.  Columns of ``df`` that are
-    called ``shard`` or ``slot``, or start with ``__``, are replaced.  An empty table gives an
-    empty result.  One copy of ``df`` is written to the shared folder, so that row numbers stay
-    what they were when executors are lost: pass only the columns that are wanted.
+    called ``shard`` or ``slot`` are replaced.  An empty table gives an empty result.  One copy of
+    ``df`` is written to the shared folder, so that row numbers stay what they were when executors
+    are lost: pass only the columns that are wanted.
     """
     if n_shards < 1:
         raise ValueError("n_shards must be positive")
     spark = df.sparkSession
-    kept = [c for c in df.columns if c.lower() not in ("shard", "slot") and not c.startswith("__")]
-    rows = stash(df.select(*[F.col(f"`{c}`") for c in kept], F.monotonically_increasing_id().alias("__id")), "shard-rows")
-    source = F.pmod(F.shiftright("__id", 33), F.lit(MAX_SOURCES)).cast("int")
-    rows = rows.withColumn("__source", source)
-    counts = {r["__source"]: r["n"] for r in rows.groupBy("__source").agg(F.count("*").alias("n")).collect()}  # at most MAX_SOURCES
+    kept = [F.col(f"`{c}`") for c in df.columns if c.lower() not in ("shard", "slot")]
+    row, source, rank, order, cell, start, ends, size = (fresh_name(df, f"__{c}") for c in ("id", "source", "rank", "order", "cell", "start", "ends", "n"))
+    rows = stash(df.select(*kept, F.monotonically_increasing_id().alias(row)), "shard-rows")
+    rows = rows.withColumn(source, F.pmod(F.shiftright(row, 33), F.lit(MAX_SOURCES)).cast("int"))
+    counts = {r[0]: r[1] for r in rows.groupBy(source).agg(F.count("*").alias(size)).collect()}  # at most MAX_SOURCES
     total, sources = sum(counts.values()), sorted(counts)
     shards = [total // n_shards + (j < total % n_shards) for j in range(n_shards)]
     matrix = communication_matrix([counts[s] for s in sources], shards, seed)
-    ends = literal_table(
+    upto = literal_table(
         spark,
-        [{"__source": s, "__ends": np.cumsum(row).tolist()} for s, row in zip(sources, matrix, strict=True)],
-        T.StructType([T.StructField("__source", T.IntegerType()), T.StructField("__ends", T.ArrayType(T.LongType()))]),
+        [{source: s, ends: np.cumsum(drawn).tolist()} for s, drawn in zip(sources, matrix, strict=True)],
+        T.StructType([T.StructField(source, T.IntegerType()), T.StructField(ends, T.ArrayType(T.LongType()))]),
     )
     cells = max(1, min(MAX_CELLS // n_shards, math.ceil(total / n_shards / ROWS_PER_CELL) * 4))
 
-    first = Window.partitionBy("__source").orderBy(F.xxhash64(F.lit(seed), "__id"), "__id")
-    again = F.xxhash64(F.lit(seed + 1), "__id")
+    first = Window.partitionBy(source).orderBy(F.xxhash64(F.lit(seed), row), row)
     dealt = (
-        rows.withColumn("__rank", F.row_number().over(first).cast("long"))
-        .join(F.broadcast(ends), "__source")
-        .withColumn("shard", F.size(F.filter("__ends", lambda end: end < F.col("__rank"))).cast("int"))
-        .withColumn("__order", again)
-        .withColumn("__cell", F.floor((F.shiftrightunsigned("__order", 32) * F.lit(cells)) / F.lit(2.0**32)).cast("int"))
-        .drop("__ends", "__rank", "__source")
+        rows.withColumn(rank, F.row_number().over(first).cast("long"))
+        .join(F.broadcast(upto), source)
+        .withColumn("shard", F.size(F.filter(ends, lambda end: end < F.col(rank))).cast("int"))
+        .withColumn(order, F.xxhash64(F.lit(seed + 1), row))
+        .withColumn(cell, F.floor((F.shiftrightunsigned(order, 32) * F.lit(cells)) / F.lit(2.0**32)).cast("int"))
+        .drop(ends, rank, source)
     )
     dealt = stash(dealt, "shard-dealt")
-    upto = Window.partitionBy("shard").orderBy("__cell").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("shard").orderBy(cell).rowsBetween(Window.unboundedPreceding, -1)
     starts = (
-        dealt.groupBy("shard", "__cell").agg(F.count("*").alias("__n"))  # at most MAX_CELLS rows
-        .select("shard", "__cell", F.coalesce(F.sum("__n").over(upto), F.lit(0)).alias("__start"))
+        dealt.groupBy("shard", cell).agg(F.count("*").alias(size))  # at most MAX_CELLS rows
+        .select("shard", cell, F.coalesce(F.sum(size).over(before), F.lit(0)).alias(start))
     )
-    inside = Window.partitionBy("shard", "__cell").orderBy("__order", "__id")
+    inside = Window.partitionBy("shard", cell).orderBy(order, row)
     return (
-        dealt.withColumn("__rank", F.row_number().over(inside))
-        .join(F.broadcast(starts), ["shard", "__cell"])
-        .withColumn("slot", (F.col("__start") + F.col("__rank") - 1).cast("long"))
-        .select(*[F.col(f"`{c}`") for c in kept], "shard", "slot")
+        dealt.withColumn(rank, F.row_number().over(inside))
+        .join(F.broadcast(starts), ["shard", cell])
+        .withColumn("slot", (F.col(start) + F.col(rank) - 1).cast("long"))
+        .select(*kept, "shard", "slot")
     )
 
 

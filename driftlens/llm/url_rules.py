@@ -131,7 +131,7 @@ def judge_urls(pages: DataFrame, rules: DataFrame, default: str = "allow") -> Da
     urls = urls.select("page_id", host_of("url").alias("host"), path_of("url").alias("path"))
     urls = stash(urls.withColumn("key", key_of(F.col("host"))), "urls")
     total = urls.count()
-    sample = urls.select("key", "path").sample(min(1.0, 2 * SAMPLE / max(1, total)), seed=7).limit(SAMPLE).collect()
+    sample = urls.select("key", "path").sample(min(1.0, SAMPLE / max(1, total)), seed=7).collect()  # about SAMPLE of all partitions
     marks = sorted({r["key"] for r in sample})
     bounds = marks[:: max(1, len(marks) // RANGES)][1:][: RANGES - 1]  # bounded: at most RANGES keys
     lower = T.StringType()
