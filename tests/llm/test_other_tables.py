@@ -12,25 +12,28 @@ SF = "/root/testdata/sf0.001"
 
 
 def brute_top(rows, k):
-    out = set()
-    for q, v in rows:
+    """Sorted (query_id, rank, vec_id, score); each row is a row of its own, whatever its id."""
+    out = []
+    for at, (q, v) in enumerate(rows):
         if q % 50:
             continue
-        scored = sorted((-sum(a * b for a, b in zip(v, w, strict=False)), i) for i, w in rows if i != q)
-        out |= {(q, r + 1, i, -s) for r, (s, i) in enumerate(scored[:k])}
-    return out
+        cut = lambda x: max(-topk.MOST, min(topk.MOST, x))
+        scored = sorted((-cut(sum(a * b for a, b in zip(v, w, strict=False))), i) for n, (i, w) in enumerate(rows) if n != at)
+        out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scored[:k])]
+    return sorted(out)
 
 
-@pytest.mark.parametrize("n,dims,spread", [(300, 6, 3), (700, 3, 1), (60, 4, 10**7), (3, 2, 5)])
+@pytest.mark.parametrize("n,dims,spread", [(300, 6, 3), (700, 3, 1), (60, 4, 10**7), (3, 2, 5), (120, 3, 10**9), (120, 4, 10**17)])
 def test_top_k(spark, monkeypatch, n, dims, spread):
     """Many ties, wide ranges, and fewer rows than k; small blocks."""
     monkeypatch.setattr(topk, "QUERY_BLOCK", 4)
     monkeypatch.setattr(topk, "CANDIDATE_BLOCK", 50)
     rng = np.random.default_rng(n)
     rows = [(k, [int(x) for x in rng.integers(-spread, spread + 1, dims)]) for k in range(n)]
-    frame = spark.createDataFrame([*rows, rows[0]], "vec_id long, v array<long>").repartition(3)
+    rows += [rows[0], (0, rows[1][1]), (1, rows[0][1])]  # a repeated row, and repeated ids with other vectors
+    frame = spark.createDataFrame([(k, *r) for k, r in enumerate(rows)], "row long, vec_id long, v array<long>").repartition(3)
     got = topk.top_k(frame.where("vec_id % 50 = 0"), frame).collect()
-    assert {tuple(r) for r in got} == brute_top(rows, 5) and len(got) == len(brute_top(rows, 5))
+    assert sorted(tuple(r) for r in got) == brute_top(rows, 5)
 
 
 def test_vectors(spark):
@@ -40,6 +43,11 @@ def test_vectors(spark):
     found = topk.top_k(vectors.where("vec_id % 50 = 0"), vectors).collect()
     assert {(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in found} == {(0, 1, 6, 64), (0, 2, 7, 0), (0, 3, 50, 0), (50, 1, 0, 0), (50, 2, 7, 0), (50, 3, 6, -512)}
     assert topk.top_k(vectors.where("false"), vectors).count() == 0
+    large = spark.createDataFrame([(0, [2.0**30]), (50, [1.5e10, 1e300]), (50, [-1e300]), (7, [4194304.5, 0.5]), (7, [1.0])], "vec_id long, embedding array<double>")
+    whole = [(0, [2**38]), (50, [int(1.5e10 * 256), topk.MOST]), (50, [-topk.MOST]), (7, [4194304 * 256 + 128, 128]), (7, [256])]
+    wide = topk.integer_vectors(large)
+    assert sorted((r["vec_id"], r["v"]) for r in wide.collect()) == sorted(whole)
+    assert sorted(tuple(r) for r in topk.top_k(wide.where("vec_id % 50 = 0"), wide).collect()) == brute_top(whole, 5)
     assert topk.top_k(vectors.where("vec_id = 0"), vectors.where("false")).count() == 0
 
 
@@ -113,5 +121,7 @@ def test_pipeline(spark):
 
 
 def test_catalog():
-    assert sorted(n.split("_")[0] for n in catalog.QUERIES) == sorted([*(f"op{k}" for k in range(1, 11)), "pipeline"])
-    assert set(catalog.ORACLE_SQL) <= set(catalog.QUERIES)
+    import __spark_entry__ as entry
+
+    assert sorted(n.split("_")[0] for n in catalog.QUERIES) == sorted(f"op{k}" for k in range(1, 11))
+    assert set(catalog.ORACLE_SQL) <= set(catalog.QUERIES) and entry.queries()["pipeline"] is corpus_pipeline.run
