@@ -20,8 +20,8 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash group: five-word shingles, similarity 0.8."""
-    return near_dups.keep_one_of_each(docs, near_dups.SIMILAR)
+    """One document of each SimHash group: a cosine of 0.8 or more between sets of five-word shingles, verified."""
+    return near_dups.keep_one_of_each(docs)
 
 
 def drop_benchmark_overlaps(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
