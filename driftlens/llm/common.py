@@ -5,9 +5,11 @@ from __future__ import annotations
 import json
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark import SparkContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,9 +43,31 @@ def stash(df: DataFrame, label: str) -> DataFrame:
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._stashed_at = path
+    if _scopes:
+        _scopes[-1].append(out)
     return out
 
 
+_scopes: list[list[DataFrame]] = []
+
+
+@contextmanager
+def scratch() -> Iterator[None]:
+    """Tables that ``stash`` writes inside are deleted at the end, but those that ``kept`` was called for."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        unstash(*_scopes.pop())
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """``df``, a table made by ``stash`` in the innermost ``scratch``, which outlives it."""
+    if _scopes:
+        _scopes[-1][:] = [x for x in _scopes[-1] if x is not df]
+    return df
+
+
 def unstash(*tables: DataFrame) -> None:
     """Delete tables made by ``stash`` that nothing reads any more."""
     for df in tables:
@@ -70,11 +94,28 @@ def fresh_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def _reads_parquet_alone(df: DataFrame) -> bool:
+    """Whether ``df`` only reads Parquet files, picks columns and filters."""
+    node = df._jdf.queryExecution().optimizedPlan()
+    while node.nodeName() in ("Project", "Filter"):
+        node = node.children().head()
+    return node.nodeName() == "LogicalRelation" and node.toString().strip().endswith(" parquet")
+
+
 def numbered(df: DataFrame) -> tuple[DataFrame, str]:
-    """``df`` with a column of unique row numbers, and its name.  It is written first: numbers given to
-    rows as they are read would change with the partitions, which follow the executors at hand."""
+    """``df`` with a column of unique row numbers that stay what they are, and its name.  Rows read from
+    Parquet files are numbered by their place: the file's number and the row's in it.  Anything else is
+    written first; numbers given to rows as they are read would follow the executors at hand."""
     name = fresh_name(df, "__row")
-    return stash(df.withColumn(name, F.monotonically_increasing_id()), "numbered"), name
+    if not _reads_parquet_alone(df):
+        return stash(df.withColumn(name, F.monotonically_increasing_id()), "numbered"), name
+    file = fresh_name(df, "__file")
+    number = fresh_name(df, "__number")
+    placed = df.select("*", F.col("_metadata.file_path").alias(file), F.col("_metadata.row_index").alias(name))
+    files = placed.select(file).distinct().withColumn(number, F.row_number().over(Window.orderBy(file)) - 1)  # one row a file
+    placed = join_few(placed, stash(files, "files"), file)
+    placed = placed.withColumn(name, F.shiftleft(F.col(number).cast("long"), 40).bitwiseOR(F.col(name)))
+    return placed.select(*[F.col(f"`{c}`") for c in df.columns], name), name
 
 
 #: Keys of 8 bytes up to this number are broadcast; beyond it they are joined.
@@ -96,7 +137,6 @@ def join_few(df: DataFrame, small: DataFrame, key: str) -> DataFrame:
 
 
 def drop_rows(df: DataFrame, gone: DataFrame, key: str) -> DataFrame:
-    """``df`` without the rows whose ``key`` is in ``gone`` (one column of long numbers, no nulls)."""
-    gone = stash(gone.select(key).distinct(), "dropped")
+    """``df`` without the rows whose ``key`` is in ``gone``, a written table of distinct long numbers."""
     small = gone.count() <= BROADCAST_KEYS
     return df.join(F.broadcast(gone) if small else gone, key, "left_anti").select(*[F.col(f"`{c}`") for c in df.columns])

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..shipping import ship_package
-from .common import WORD_BYTES, broadcast_value, drop_rows, join_few, numbered, stash, table
+from .common import WORD_BYTES, broadcast_value, drop_rows, join_few, kept, numbered, scratch, stash, table
 
 #: 1 marks a word that must be equal, 0 one that is ignored.  Whatever 13 or more words of
 #: which 0.8 are equal, one of the masks fits them: any longer such run holds one of 13 to 25 words.
@@ -269,8 +269,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     Rows are judged each: repeated rows go or stay together, null and empty texts stay, and with an
     empty table on either side ``docs`` stays as it is."""
     rows, spare = numbered(docs)
-    found = benchmark_overlaps(rows.select(F.col(spare).alias("key"), "text"), benchmark)
-    return drop_rows(rows, found.select(F.col("key").alias(spare)), spare).drop(spare)
+    with scratch():
+        found = benchmark_overlaps(rows.select(F.col(spare).alias("key"), "text"), benchmark)
+        gone = kept(stash(found.select(F.col("key").alias(spare)).distinct(), "dropped"))
+    return drop_rows(rows, gone, spare).drop(spare)
 
 
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

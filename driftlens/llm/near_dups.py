@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..shipping import ship_package
-from .common import BROADCAST_KEYS, drop_rows, join_few, numbered, stash, table
+from .common import BROADCAST_KEYS, drop_rows, join_few, kept, numbered, scratch, stash, table, unstash
 from .components import components
 
 #: Rows of one cell that are held together; the rest goes to further parts of the cell.
@@ -365,6 +365,8 @@ def loose_links(nodes: DataFrame, scheme: Scheme, n_nodes: int) -> DataFrame:
 
 #: Texts of a class that the others are compared with at once, and rows of a class that go to one task.
 ANCHORS, CLASS_ROWS = 64, 2048
+#: How many times more sets of anchors a class may have in each further round.
+GROWTH = 32
 
 
 def _shingle_sets(shingle: int):
@@ -447,10 +449,10 @@ def verified_groups(classes: DataFrame, texts: DataFrame, scheme: Scheme) -> Dat
     found = texts.join(F.broadcast(named) if few else named, "node").select("class", "node", "text")
     sets = stash(found.mapInArrow(_shingle_sets(scheme.shingle), "class long, node long, shingles binary"), "shingle-sets")
     state = sets.select("class", "node", F.lit(True).alias("open"), F.lit(False).alias("tried"))
-    links, made, round_ = None, [sets], 0
+    groups, round_ = None, 0
     while True:
         # ANCHORS times a growing number of sets of anchors, picked by a hash, all of a small class
-        several = 4**round_
+        several = GROWTH**round_
         per_class = state.groupBy("class").agg(F.count("*").alias("n"), F.sum((F.col("open") & ~F.col("tried")).cast("long")).alias("left"))
         per_class = per_class.where("left > 0").select(
             "class",
@@ -471,12 +473,17 @@ def verified_groups(classes: DataFrame, texts: DataFrame, scheme: Scheme) -> Dat
         units = sets.join(as_anchor.union(as_row), "node").select("class", "set", "block", "kind", "node", "shingles")
         dealt = units.repartition("class", "set", "block").sortWithinPartitions("class", "set", "block", "kind")
         more = stash(dealt.mapInArrow(_verify(scheme.similarity), "a long, b long"), "verified")
-        made += [due, more]
-        links = more if links is None else links.union(more)
-        groups = components(links)
+        if groups is None:
+            groups = stash(components(more), "groups")
+        else:  # between components found before, of which few are left
+            name = lambda side: groups.select(F.col("node").alias(side), F.col("root").alias(f"{side}_root"))
+            between = more.join(name("a"), "a", "left").join(name("b"), "b", "left").select(F.coalesce("a_root", "a").alias("a"), F.coalesce("b_root", "b").alias("b"))
+            merged = stash(components(between), "merged").select(F.col("node").alias("root"), F.col("root").alias("into"))
+            nodes = groups.union(merged.join(groups, merged["root"] == groups["node"], "left_anti").select(F.col("root").alias("node"), "root"))
+            groups = stash(nodes.join(merged, "root", "left").select("node", F.coalesce("into", "root").alias("root")), "groups")
         grouped = state.join(due.select("node", "anchor"), "node", "left").join(groups, "node", "left")
         grouped = stash(grouped.select("class", "node", (F.col("tried") | F.coalesce("anchor", F.lit(False))).alias("tried"), F.coalesce("root", "node").alias("group")), "grouped")
-        made += [groups, grouped]
+        unstash(more, due)
         largest = grouped.groupBy("class", "group").agg(F.count("*").alias("n")).groupBy("class").agg(F.max_by("group", F.struct("n", -F.col("group"))).alias("largest"))
         state = join_few(grouped, stash(largest, "largest"), "class").select("class", "node", (F.col("group") != F.col("largest")).alias("open"), "tried")
         if not state.where("open AND NOT tried").limit(1).count():
@@ -532,11 +539,13 @@ def keep_one_of_each(docs: DataFrame, scheme: Scheme | None = None) -> DataFrame
     All texts without words are one group, null texts too; an empty table gives an empty result.
     """
     rows, spare = numbered(docs)
-    keyed = rows.select(F.col(spare).alias("key"), "text", F.col("doc_id").alias("__id"))
-    named = stash(near_duplicate_groups(keyed, scheme or similar_scheme(0), ("__id",)).select("key", "group", "__id"), "groups")
-    order = F.struct(F.col("__id").isNull(), "__id", "key")
-    first = named.groupBy("group").agg(F.min_by("key", order).alias("kept"), F.count("*").alias("n")).where("n > 1")
-    gone = join_few(named, stash(first, "kept"), "group").where("key <> kept").select(F.col("key").alias(spare))
+    with scratch():
+        keyed = rows.select(F.col(spare).alias("key"), "text", F.col("doc_id").alias("__id"))
+        named = stash(near_duplicate_groups(keyed, scheme or similar_scheme(0), ("__id",)).select("key", "group", "__id"), "groups")
+        order = F.struct(F.col("__id").isNull(), "__id", "key")
+        first = named.groupBy("group").agg(F.min_by("key", order).alias("kept"), F.count("*").alias("n")).where("n > 1")
+        gone = join_few(named, stash(first, "kept"), "group").where("key <> kept").select(F.col("key").alias(spare))
+        gone = kept(stash(gone, "dropped"))
     return drop_rows(rows, gone, spare).drop(spare)
 
 

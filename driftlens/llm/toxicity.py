@@ -199,8 +199,17 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     text = F.col("text").cast("binary")
     sample = docs.select("doc_id", text.alias("text")).where(F.octet_length("text") <= SAMPLE_BYTES).join(chosen, "doc_id")
     sample = sample.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))  # of repeated ids the smallest text
-    rows = [(bytes(r["text"]), int(r["toxic"])) for r in sample.orderBy("doc_id").collect()]
-    return fit(rows, counts.get(1, 0) / max(1, sum(counts.values())))
+    share = counts.get(1, 0) / max(1, sum(counts.values()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = sorted((r["doc_id"], r["text"], r["toxic"]) for batch in batches for r in batch.to_pylist())
+        model = fit([(text, label) for _, text, label in rows], share)
+        yield pa.RecordBatch.from_arrays([pa.array([model.ordinary], pa.binary()), pa.array([model.toxic], pa.binary()), pa.array([list(model.weights)], pa.list_(pa.float64()))], names=["ordinary", "toxic", "weights"])
+
+    ship_package(docs.sparkSession)
+    # the sample is bounded, so one task holds it
+    row = sample.select("doc_id", "text", "toxic").repartition(1).mapInArrow(run, "ordinary binary, toxic binary, weights array<double>").first()
+    return Model(bytes(row["ordinary"]), bytes(row["toxic"]), tuple(row["weights"])) if row else fit([], share)
 
 
 def toxicity_scores(docs: DataFrame, model: Model) -> DataFrame:
