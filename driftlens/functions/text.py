@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import re
 from html import unescape
-from html.parser import HTMLParser
 
 import pandas as pd
 from pyspark.sql import Column
@@ -49,39 +48,27 @@ def round4(c: Column) -> Column:
     return F.floor(c * F.lit(10000.0) + F.lit(0.5)) / F.lit(10000.0)
 
 
+def round5(c: Column) -> Column:
+    """To five decimals, as ``round4``."""
+    return F.floor(c * F.lit(100000.0) + F.lit(0.5)) / F.lit(100000.0)
+
+
 def normalise(c) -> Column:
     """Lower case, everything but letters, digits, ``_``, ``-``, ``/`` and white space blanked, white space collapsed."""
     low = F.lower(F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit("")))
     return strip(F.regexp_replace(F.regexp_replace(low, r"[^\p{L}\p{N}_\s\p{Z}\-/]", " "), r"[\s\p{Z}]+", " "))
 
 
-class _Text(HTMLParser):
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.parts: list[str] = []
-
-    def handle_data(self, data: str) -> None:
-        if data.strip():
-            self.parts.append(data.strip())
-
-
 #: Characters that memo texts hold by accident.
-_CONTROL = re.compile(r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]")
+CONTROL = r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]"
+#: Comments, declarations, and tags; a quoted attribute may hold ">", and a tag with a stray quote ends at the first.
+MARKUP = r"""<!--[\s\S]*?-->|<[!?][^>]*>|</?[A-Za-z](?:"[^"]*"|'[^']*'|[^"'>])*>|</?[A-Za-z][^>]*>"""
+_CONTROL, _MARKUP = re.compile(CONTROL), re.compile(MARKUP)
 
 
 def plain_text(html: str | None) -> str:
-    """A memo's text: entities resolved, then tags dropped, text nodes joined by a blank, white space collapsed."""
-    if not html:
-        return ""
-    source = unescape(_CONTROL.sub(" ", html))
-    reader = _Text()
-    try:
-        reader.feed(source)
-        reader.close()
-        out = " ".join(reader.parts)
-    except (AssertionError, ValueError):
-        out = re.sub(r"<[^>]+>", " ", source)
-    return " ".join(out.split())
+    """A memo's text: entities resolved first, then markup blanked, white space collapsed."""
+    return " ".join(_MARKUP.sub(" ", unescape(_CONTROL.sub(" ", html))).split()) if html else ""
 
 
 @F.pandas_udf(StringType())
@@ -91,11 +78,11 @@ def html_text(html: pd.Series) -> pd.Series:
 
 
 def html_text_native(c) -> Column:
-    """An approximation of ``html_text`` without Python: comments and tags blanked, the five common entities resolved last."""
-    source = F.regexp_replace(F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit("")), r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]", " ")
-    source = F.regexp_replace(F.regexp_replace(source, r"(?s)<!--.*?-->", " "), r"<[^>]+>", " ")
+    """``html_text`` without Python, but only for the five common entities; a quoted ``>`` ends a tag."""
+    source = F.regexp_replace(F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit("")), CONTROL, " ")
     for entity, sign in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&amp;", "&")):
         source = F.replace(source, F.lit(entity), F.lit(sign))
+    source = F.regexp_replace(source, r"<!--[\s\S]*?-->|<[!?][^>]*>|</?[A-Za-z][^>]*>", " ")
     return F.trim(F.regexp_replace(source, r"[ \t\n\r\f]+", " "))
 
 

@@ -70,7 +70,8 @@ class FakeClient:
 
 
 def embed_text(t: Target) -> str:
-    return ". ".join(x for x in [t.label, t.description, *t.seeds] if x)
+    """A target's label, description and seeds, and behind a sub-target's own its category's seeds."""
+    return ". ".join(x for x in [t.label, t.description, *t.seeds, *t.category_seeds] if x)
 
 
 def prompt_for(targets: Sequence[Target], text: str) -> str:
