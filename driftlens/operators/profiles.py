@@ -95,11 +95,10 @@ def period_of_name(stem: Column, custom: str | None = None) -> Column:
     cycle token, else the stem."""
     options = []
     if custom is not None:
-        groups = F.regexp_extract_all  # groups are joined below; a pattern without groups counts whole
+        # groups are joined; a pattern without groups counts whole
         n = _groups(custom)
         found = F.array_join(F.filter(F.array(*[F.regexp_extract(stem, custom, k) for k in range(1, n + 1)]), lambda x: x != ""), "-") if n else F.regexp_extract(stem, custom, 0)
         options.append(blank_to_null(found))
-        del groups
     month = F.when(stem.rlike(defaults.PERIOD_MONTH), F.concat_ws("-", F.regexp_extract(stem, defaults.PERIOD_MONTH, 1), F.regexp_extract(stem, defaults.PERIOD_MONTH, 2)))
     return F.coalesce(*options, month, blank_to_null(F.regexp_extract(stem, defaults.PERIOD_CYCLE, 1)), stem)
 

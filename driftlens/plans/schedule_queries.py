@@ -3,11 +3,11 @@ task's code, the order its id, the shipping date its finish."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import defaults
-from ..functions.text import html_text_native, normalise, round4
+from ..functions.text import CONTROL, MARKUP, html_text, normalise, round4
 from ..operators import narratives as N
 from ..operators import profiles as P
 from ..operators import snapshots as S
@@ -183,18 +183,81 @@ def distinct_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.distinct_text(table(spark, sf_dir, "part"), "p_type")
 
 
+#: Memos from orders: a note's task is the customer, its type a nation; some have no id, text, or label.
+MEMOS_SQL = """
+    WITH chunks AS (
+        SELECT CASE WHEN o_orderkey % 10 = 0 THEN 'xer-memo-' || o_custkey || '-' || o_orderkey % 25 ELSE 'xer-memo-' || o_orderkey END AS chunk_id,
+               'xer:prog:7:taskmemo' AS document_id, CAST(o_custkey AS VARCHAR) AS task_id, c_name AS task_code, CAST(o_orderkey % 25 AS VARCHAR) AS memo_type_id,
+               CASE WHEN n_nationkey % 5 = 4 THEN CAST(n_nationkey AS VARCHAR) ELSE n_name END AS memo_type_label, o_orderpriority || ' & < ' || o_orderstatus AS text, o_orderkey AS chunk_ord
+        FROM orders JOIN nation ON n_nationkey = o_orderkey % 25 LEFT JOIN customer ON c_custkey = o_custkey
+        WHERE o_orderkey % 11 <> 0 AND n_nationkey IN (1, 2, 4)
+    )
+"""
+MEMO_LABELS = ("NATION_1", "NATION_2", "4")
+
+
+def raw_memos(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Raw memos, memo types and tasks as an export has them: text columns and the order of rows."""
+    key, html = F.col("o_orderkey").cast("string"), F.concat(F.lit("<p title='a > b'>"), "o_orderpriority", F.lit(" &amp;<!-- no --> &lt; <b>"), "o_orderstatus", F.lit("</b></p>"))
+    memos = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("ord"), F.when(F.col("o_orderkey") % 10 == 0, F.lit(" ")).otherwise(key).alias("memo_id"), F.col("o_custkey").cast("string").alias("task_id"),
+        (F.col("o_orderkey") % 25).cast("string").alias("memo_type_id"), F.lit("7").alias("proj_id"), F.when(F.col("o_orderkey") % 11 == 0, F.lit("<br> &nbsp;")).otherwise(html).alias("task_memo"),
+    )
+    name = F.when(F.col("n_nationkey") % 5 == 4, F.lit(" ")).otherwise(F.col("n_name"))
+    types = table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("string").alias("memo_type_id"), name.alias("memo_type"), F.col("n_nationkey").alias("ord"))
+    tasks = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("task_id"), F.col("c_name").alias("task_code"), F.col("c_mktsegment").alias("task_name"), F.col("c_custkey").alias("ord"))
+    return memos, types, tasks
+
+
+def planner_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return N.memo_chunks(*raw_memos(spark, sf_dir), "prog", "2024-01", MEMO_LABELS)
+
+
+@query(MEMOS_SQL + "SELECT * FROM chunks")
+def dim_lookup_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return planner_chunks(spark, sf_dir).select("chunk_id", "document_id", "task_id", "task_code", "memo_type_id", "memo_type_label", "text", "chunk_ord")
+
+
+@query(MEMOS_SQL + """
+    SELECT regexp_replace(chunk_id, '^xer-memo-', '') AS memo_id, chunk_id, task_id, task_code, coalesce(c_mktsegment, '') AS task_name, memo_type_label, text,
+           CAST(length(text) AS INTEGER) AS char_count, '' AS is_quality_related
+    FROM (SELECT * FROM chunks QUALIFY row_number() OVER (PARTITION BY chunk_id ORDER BY chunk_ord) = 1) LEFT JOIN customer ON c_custkey = CAST(task_id AS BIGINT)
+""")
+def label_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = P.label_export(planner_chunks(spark, sf_dir), raw_memos(spark, sf_dir)[2])
+    return found.select("memo_id", "chunk_id", "task_id", "task_code", "task_name", "memo_type_label", "text", "char_count", "is_quality_related")
+
+
+@query(MEMOS_SQL + """, i AS (SELECT 'inc-' || c_custkey AS incident_id, CAST(c_custkey AS VARCHAR) AS task_id FROM customer)
+    SELECT incident_id, coalesce(string_agg(text, ' ' ORDER BY chunk_ord), '') AS text FROM i LEFT JOIN chunks USING (task_id) GROUP BY incident_id
+""")
+def incident_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    task = F.col("c_custkey").cast("string")
+    incidents = table(spark, sf_dir, "customer").select(F.concat(F.lit("inc-"), task).alias("incident_id"), task.alias("primary_task_id"))
+    return N.incident_texts(incidents, N.link_memos(incidents, planner_chunks(spark, sf_dir)))
+
+
 @query("""
-    SELECT o_orderkey, coalesce(c_name, '') AS c_name, coalesce(n_name, CAST(c_nationkey AS VARCHAR)) AS label
-    FROM orders LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey
-    WHERE coalesce(n_name, '') IN (SELECT n_name FROM nation WHERE n_regionkey = 1)
+    SELECT CAST(l_orderkey AS VARCHAR) AS task_id, CASE WHEN l_linenumber = 6 THEN '' ELSE CAST(l_partkey AS VARCHAR) END AS task_code,
+           CASE WHEN l_linestatus = 'F' AND l_returnflag = 'R' THEN strftime(l_shipdate + INTERVAL 3 DAY, '%Y-%m-%d') || ' 08:30' WHEN l_linenumber <> 4 THEN strftime(l_shipdate, '%Y-%m-%d') || ' 16:00' END AS finish,
+           CASE WHEN l_linestatus = 'F' AND l_returnflag = 'R' THEN 'act_end_date' ELSE 'early_end_date' END AS finish_field,
+           CASE WHEN l_linenumber <> 5 THEN l_quantity - 10 END AS float_hours, (l_linenumber <> 5 AND l_quantity <= 10) OR l_tax > 0.07 AS critical, l_linenumber <> 6 AS valid
+    FROM lineitem
 """)
-def dim_lookup_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
-    nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
-    wanted = F.broadcast(nations.where("n_regionkey = 1").select("n_name"))  # at most the nations of the world
-    rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey").join(customers, F.col("o_custkey") == F.col("c_custkey"), "left")
-    rows = rows.join(F.broadcast(nations.drop("n_regionkey")), F.col("c_nationkey") == F.col("n_nationkey"), "left").join(wanted, "n_name", "left_semi")
-    return rows.select("o_orderkey", F.coalesce("c_name", F.lit("")).alias("c_name"), F.coalesce("n_name", F.col("c_nationkey").cast("string")).alias("label"))
+def typed_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw text columns of a schedule export, with malformed dates, numbers and blank codes."""
+    day = lambda c, hour: F.concat(F.date_format(c, "yyyy-MM-dd"), F.lit(hour))
+    raw = table(spark, sf_dir, "lineitem").select(
+        F.concat(F.lit(" "), F.col("l_orderkey").cast("string")).alias("task_id"),
+        F.when(F.col("l_linenumber") == 6, F.lit(" ")).otherwise(F.col("l_partkey").cast("string")).alias("task_code"),
+        F.when(F.col("l_linestatus") == "F", F.lit("TK_Complete")).otherwise(F.lit("TK_Active")).alias("status_code"),
+        F.when(F.col("l_linenumber") == 4, F.lit("soon")).otherwise(day("l_shipdate", " 16:00")).alias("early_end_date"),
+        F.when(F.col("l_returnflag") == "R", day(F.date_add("l_shipdate", 3), " 08:30")).otherwise(F.lit("")).alias("act_end_date"),
+        F.when(F.col("l_linenumber") == 5, F.lit("n/a")).otherwise((F.col("l_quantity") - 10).cast("string")).alias("total_float_hr_cnt"),
+        F.when(F.col("l_tax") > 0.07, F.lit("Y")).otherwise(F.lit("N")).alias("driving_path_flag"),
+    )
+    found = S.snapshots(raw)
+    return found.select("task_id", "task_code", F.date_format("finish_date", "yyyy-MM-dd HH:mm").alias("finish"), "finish_field", "float_hours", "critical", "valid")
 
 
 @query(LINES_SQL + """,
@@ -309,12 +372,23 @@ def extract_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", codes.alias("codes"), dates.alias("dates"))
 
 
-@query(r"""
-    WITH a AS (SELECT page_id, regexp_replace(regexp_replace(regexp_replace(html, '[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]', ' ', 'g'), '(?s)<!--.*?-->', ' ', 'g'), '<[^>]+>', ' ', 'g') AS t FROM pages)
-    SELECT page_id, trim(regexp_replace(replace(replace(replace(replace(replace(t, '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&'), '[ \t\n\r\f]+', ' ', 'g')) AS plain FROM a
+#: Entities of the pages, in an order in which none makes another.
+ENTITIES = (("&middot;", "\u00b7"), ("&copy;", "\u00a9"), ("&nbsp;", "\u00a0"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&amp;", "&"))
+
+
+def _resolved(column: str) -> str:
+    for entity, sign in ENTITIES:
+        column = f"replace({column}, '{entity}', '{sign}')"
+    return column
+
+
+@query(rf"""
+    WITH a AS (SELECT page_id, regexp_replace(html, '{CONTROL}', ' ', 'g') AS t FROM pages),
+    b AS (SELECT page_id, regexp_replace({_resolved("t")}, '{MARKUP.replace("'", "''")}', ' ', 'g') AS t FROM a)
+    SELECT page_id, trim(regexp_replace(t, '[\s\x{{a0}}]+', ' ', 'g')) AS plain FROM b
 """)
 def html_strip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "pages").select("page_id", html_text_native("html").alias("plain"))
+    return table(spark, sf_dir, "pages").select("page_id", html_text("html").alias("plain"))
 
 
 @query("""
@@ -335,25 +409,40 @@ def period_from_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", P.period_of_name(stem).alias("period"))
 
 
-@query(r"""
-    WITH lines AS (
-        SELECT doc_id, i, regexp_replace(regexp_replace(string_split(text, chr(10))[i], '^[\s\p{Z}]+', ''), '[\s\p{Z}]+$', '') AS line
-        FROM (SELECT doc_id, text, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i FROM documents)
-    ), marked AS (SELECT *, CASE WHEN length(line) BETWEEN 1 AND 40 THEN 1 ELSE 0 END AS h FROM lines),
-    grouped AS (SELECT *, sum(h) OVER (PARTITION BY doc_id ORDER BY i) AS s FROM marked)
-    SELECT doc_id, CAST(s AS BIGINT) AS section, max(line) FILTER (h = 1) AS heading, string_agg(line, chr(10) ORDER BY i) FILTER (h = 0) AS body
-    FROM grouped WHERE s > 0 GROUP BY doc_id, s HAVING count(*) FILTER (h = 0) > 0
+#: Pages of documents made from orders: headings of two levels, entries of a table of contents, and contents pages.
+PAGES_SQL = r"""
+    WITH l AS (
+        SELECT CAST(o_custkey % 50 AS VARCHAR) AS document, o_orderkey AS page_no, unnest([1, 2, 3]) AS i,
+               unnest([CASE o_orderkey % 3 WHEN 0 THEN (o_orderkey % 9 + 1) || ' Period Progress' WHEN 1 THEN (o_orderkey % 9 + 1) || '.' || (o_orderkey % 4 + 1) || ' Critical Path' ELSE o_orderpriority END,
+                       'body ' || o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN '4 Mitigation Works 12' END]) AS line
+        FROM orders WHERE o_orderkey % 13 <> 0
+    ), h AS (SELECT *, nullif(regexp_extract(line, '^(\d+(\.\d+)?) [A-Z]', 1), '') AS number FROM l WHERE line IS NOT NULL),
+    g AS (SELECT *, count(number) OVER (PARTITION BY document ORDER BY page_no, i) AS s FROM h),
+    found AS (
+        SELECT document, CAST(s AS INTEGER) AS section_ord, max(number) AS section_number, max(line) FILTER (number IS NOT NULL) AS section_title,
+               CAST(min(page_no) FILTER (number IS NOT NULL) AS INTEGER) AS first_page, string_agg(line, chr(10) ORDER BY page_no, i) FILTER (number IS NULL) AS text
+        FROM g WHERE s > 0 GROUP BY document, s
+    )
+"""
+
+
+def order_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.col("o_orderkey")
+    number = (key % 9 + 1).cast("string")
+    top = F.when(key % 3 == 0, F.concat(number, F.lit("  Period Progress"))).when(key % 3 == 1, F.concat(number, F.lit("."), (key % 4 + 1).cast("string"), F.lit(" Critical Path "))).otherwise(F.col("o_orderpriority"))
+    text = F.concat_ws("\n", F.when(key % 13 == 0, F.lit(" Table of Contents")), top, F.concat(F.lit("  body "), key.cast("string"), F.lit("  ")), F.when(key % 7 == 0, F.lit("4 Mitigation Works 12")))
+    return table(spark, sf_dir, "orders").select((F.col("o_custkey") % 50).cast("string").alias("document"), key.alias("page_no"), text.alias("text"))
+
+
+@query(PAGES_SQL + r"""
+    SELECT 'pdf-' || document || '-s' || section_number AS chunk_id, 'pdf:prog:' || document AS document_id, CASE WHEN section_number LIKE '3%' THEN 'row-3' END AS project_row_id, section_number,
+           split_part(section_number, '.', 1) AS parent_section_number, CASE WHEN section_title LIKE '%Period%' THEN 'period_progress' ELSE 'cp_float_analysis' END AS section_type,
+           section_title, first_page, text, CAST(section_ord AS BIGINT) AS chunk_ord
+    FROM found WHERE section_title NOT LIKE '% 12' AND text IS NOT NULL
 """)
 def section_builder(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Gaps and islands: a line of up to 40 signs opens a section."""
-    line = F.regexp_replace(F.regexp_replace("line", r"^[\s\p{Z}]+", ""), r"[\s\p{Z}]+$", "")
-    rows = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("i", "line")).withColumn("line", line)
-    rows = rows.withColumn("h", F.length("line").between(1, 40))
-    upto = Window.partitionBy("doc_id").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("section", F.sum(F.col("h").cast("long")).over(upto)).where("section > 0")
-    body = F.array_sort(F.collect_list(F.when(~F.col("h"), F.struct("i", "line"))))
-    found = rows.groupBy("doc_id", "section").agg(F.max(F.when(F.col("h"), F.col("line"))).alias("heading"), body.alias("b")).where(F.size("b") > 0)
-    return found.select("doc_id", "section", "heading", F.array_join(F.transform("b", lambda x: x["line"]), "\n").alias("body"))
+    chunks = N.section_chunks(N.sections(order_pages(spark, sf_dir)), "prog", "2024-01", {"3": "row-3"})
+    return chunks.select("chunk_id", "document_id", "project_row_id", "section_number", "parent_section_number", "section_type", "section_title", "first_page", "text", "chunk_ord")
 
 
 @query("""
