@@ -29,7 +29,7 @@ def parser() -> argparse.ArgumentParser:
             sub.add_argument(flag, action="store_true") if default is False else sub.add_argument(flag, default=default, type=type(default) if default is not None else str)
 
     command("run-monthly", "current", "previous", programme="default", period="", previous_period="", out="outputs")
-    command("run-batch", "root", programme="default", period_regex=None, out="outputs")
+    command("run-batch", "root", programme="default", period_regex=None, out="outputs", skip_existing=None)
     command("aggregate-memos", "root", programme="default", out="outputs")
     command("export-schedule", "current", previous=None, out="outputs", all_tables=False)
     command("export-memos", "current", previous=None, programme="default", slipped_only=False, out="memos.csv")
@@ -41,7 +41,7 @@ def parser() -> argparse.ArgumentParser:
     command("classify-multi", "input", "taxonomy", id_column="row_id", text_column="text", engines="tfidf", base_url="http://localhost:11434", model="", backend="ollama", out="outputs")
     command("sample", "input", "row_scores", id_column="row_id", text_column="text", total=1500, seed=42, out="sample.csv")
     command("eval", "labels", matches=None, all_scores=None, threshold=0.5, out="outputs")
-    command("discover-keywords", "input", taxonomy=None, id_column="row_id", text_column="text", out="keywords.csv")
+    command("discover-keywords", "input", taxonomy=None, id_column="row_id", text_column="text", max_ngram=3, min_df=3, max_df=5000, limit=500, row_scores=None, by_category_out=None, out="keywords.csv")
     return top
 
 
@@ -53,8 +53,12 @@ def main(argv: list[str] | None = None) -> int:
         manifest = R.run_monthly(spark, a.current, a.previous, a.programme, a.period, a.previous_period, a.out)
         say({k: v for k, v in manifest.items() if k != "tables"})
     elif a.command == "run-batch":
-        for name, df in R.run_batch(spark, a.root, a.programme, a.period_regex).items():
+        done = spark.read.parquet(a.skip_existing).select("reporting_period") if a.skip_existing else None
+        results = R.run_batch(spark, a.root, a.programme, a.period_regex, done)
+        results["summary"] = R.batch_summary(results)
+        for name, df in results.items():
             T.write_parquet(df, f"{a.out}/{name}.parquet")
+        say([r.asDict() for r in spark.read.parquet(f"{a.out}/summary.parquet").collect()])  # one row a comparison
     elif a.command == "aggregate-memos":
         rows, counts = P.aggregate_memos(T.read_memo_csvs(spark, a.root), a.programme)
         T.write_parquet(rows, f"{a.out}/memos.parquet")
@@ -90,10 +94,11 @@ def main(argv: list[str] | None = None) -> int:
             T.write_parquet(df, f"{a.out}/{name}.parquet")
     elif a.command == "sample":
         summaries = T.read_csv(spark, a.row_scores, ("row_id", "top_category_id", "top_score"))
-        from .functions.text import number
+        from .functions.text import number, strip
 
         summaries = summaries.withColumn("top_score", number("top_score")).na.fill({"top_score": 0.0})
-        chosen = R.sample_rows(T.read_text_rows(spark, a.input, a.id_column, a.text_column).drop("row_ord"), summaries, a.total, a.seed)
+        rows = T.read_csv(spark, a.input, (a.id_column, a.text_column))
+        chosen = R.sample_rows(rows.withColumn("row_id", strip(a.id_column)), summaries, a.total, a.seed)
         say({"rows": T.write_csv(chosen, a.out)})
     elif a.command == "eval":
         scores = T.read_scores(spark, a.matches, "fail") if a.matches else T.read_scores(spark, a.all_scores).where(f"score >= {float(a.threshold)}")
@@ -102,7 +107,12 @@ def main(argv: list[str] | None = None) -> int:
     elif a.command == "discover-keywords":
         rows = T.read_text_rows(spark, a.input, a.id_column, a.text_column)
         taxonomy = T.load_taxonomy(a.taxonomy) if a.taxonomy else None
-        say({"rows": T.write_csv(R.discover(rows, taxonomy)["keywords"], a.out)})
+        top = T.read_csv(spark, a.row_scores, ("row_id", "top_category_id")).where("top_category_id <> ''") if a.row_scores else None
+        found = R.discover(rows, taxonomy, top, most=a.max_ngram, min_df=a.min_df, max_df=a.max_df, limit=a.limit)
+        said = {"rows": T.write_csv(found["keywords"], a.out)}
+        if top is not None and a.by_category_out:
+            said["rows_by_category"] = T.write_csv(found["keywords_by_category"], a.by_category_out)
+        say(said)
     return 0
 
 

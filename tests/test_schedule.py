@@ -67,6 +67,8 @@ def test_batch_and_exports(spark, folder, tmp_path):
     assert ids == ["prog-2025-04-float-0001", "prog-2025-04-impact-0001", "prog-2025-05-float-0001"]
     skip = spark.createDataFrame([("2025-04",)], "reporting_period string")
     assert [r["incident_id"] for r in R.run_batch(spark, str(folder), "prog", skip=skip)["incidents"].collect()] == ["prog-2025-05-float-0001"]
+    summary = [r.asDict() for r in R.batch_summary(batch).collect()]
+    assert [(r["reporting_period"], r["previous_period"], r["n_incidents"], r["impact_count"], r["float_count"]) for r in summary] == [("2025-04", "2025-03", 2, 1, 1), ("2025-05", "2025-04", 1, 0, 1)]
     current, previous = str(folder / "2025-04.xer"), str(folder / "2025-03.xer")
     counts = R.export_schedule(spark, current, previous, str(tmp_path / "dump"), all_tables=True)
     assert counts["TASK"] == 4 and counts["delta"] == {"slipped": 2, "stable": 1, "new": 1, "removed": 1, "_total_rows": 5}

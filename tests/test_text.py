@@ -135,6 +135,24 @@ def test_tfidf(spark):
     assert S.tfidf_scores(empty, TAXONOMY.subs, stop_words=stop).count() == 0
 
 
+def test_sample_command_keeps_all_columns(spark, tmp_path):
+    (tmp_path / "in.csv").write_text("ref,cause,site,top_score\n" + "".join(f" r{k} ,text {k},north,9\n" for k in range(12)), encoding="utf-8")
+    (tmp_path / "rows.csv").write_text("row_id,top_category_id,top_score\n" + "".join(f"r{k},c{k % 2},0.{k % 9}\n" for k in range(12)), encoding="utf-8")
+    rows = T.read_csv(spark, str(tmp_path / "in.csv"), ("ref", "cause")).withColumn("row_id", X.strip("ref"))
+    summaries = T.read_csv(spark, str(tmp_path / "rows.csv"), ("row_id", "top_category_id", "top_score")).withColumn("top_score", X.number("top_score"))
+    chosen = R.sample_rows(rows, summaries, 6)
+    assert chosen.columns == ["row_id", "ref", "cause", "site", "top_category_id", "top_sub_category_id", "top_score", "score_band"]
+    found = chosen.collect()
+    assert len(found) == 6 and {r["site"] for r in found} == {"north"} and all(r["top_score"] < 1 and r["top_sub_category_id"] == "" for r in found)
+
+
+def test_seeds_and_embedding_texts_as_declared(spark):
+    target = T.Target(0, "c", "s", "Label", "Words", ("Late CHANGE", "x"), ("Design",))
+    texts = spark.createDataFrame([(target.ord, " ".join(target.seeds).upper())], "ord int, text string")
+    assert texts.select(S.matched_seeds([target]).alias("m")).first()["m"] == list(target.seeds)[:5]
+    assert C.embed_text(target).endswith(". ".join([*target.seeds, *target.category_seeds]))
+
+
 def test_runs_and_clients(spark, tmp_path):
     rows = spark.createDataFrame([(f"r{k}", k, t) for k, t in enumerate(TEXTS)], "row_id string, row_ord long, text string")
     client = C.FakeClient(TAXONOMY.subs)
