@@ -9,7 +9,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark import SparkContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -118,25 +118,58 @@ def numbered(df: DataFrame) -> tuple[DataFrame, str]:
     return placed.select(*[F.col(f"`{c}`") for c in df.columns], name), name
 
 
-#: Keys of 8 bytes up to this number are broadcast; beyond it they are joined.
+#: Keys of 8 bytes up to this number are broadcast; beyond it they are joined.  For tables that don't grow with the corpus.
 BROADCAST_KEYS = 1_000_000
+#: The same for tables that grow with the corpus: the driver builds some 80 bytes a row, several tables at a time.
+CORPUS_KEYS = 1 << 16
+#: Numbers that a row of ``key_maps`` covers (a power of two, 2^15 at most), and rows of it that are broadcast (1 kB each).
+MAP_BITS, MAP_ROWS = 1 << 13, 8192
 #: Parts that a key's rows are dealt to where they are joined with a table that holds each key once.
 SALTS = 32
 
 
-def join_few(df: DataFrame, small: DataFrame, key: str) -> DataFrame:
-    """``df`` joined with ``small``, a written table that holds few rows of each ``key``.  It is broadcast up to
-    a counted size; beyond that its rows are repeated, so that a key's many rows in ``df`` are spread."""
-    if small.count() <= BROADCAST_KEYS:
+def join_few(df: DataFrame, small: DataFrame, key: str, most: int | None = None) -> DataFrame:
+    """``df`` joined with ``small``, a written table that holds few rows of each ``key``.  It is broadcast up to a
+    counted size (``most``, else BROADCAST_KEYS); beyond that its rows are repeated, so that a key's many rows in
+    ``df`` are spread."""
+    if small.count() <= (BROADCAST_KEYS if most is None else most):
         return df.join(F.broadcast(small), key)
     salt = fresh_name(df, "__salt")
     spread = small.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     rest = [F.col(f"`{c}`") for c in df.columns if c != key]
     dealt = df.withColumn(salt, F.pmod(F.xxhash64(*(rest or [F.col(key)])), F.lit(SALTS)).cast("int"))
-    return dealt.join(spread, [key, salt]).drop(salt)
+    return dealt.join(spread.hint("merge"), [key, salt]).drop(salt)  # Spark takes it for as small as it was, and would broadcast it
+
+
+def _block_of(key: str) -> Column:
+    return F.shiftright(key, MAP_BITS.bit_length() - 1)
+
+
+def key_maps(keys: DataFrame, key: str, block: str, bits: str) -> DataFrame:
+    """The long numbers ``key`` as bit maps, a row for each MAP_BITS numbers in a row that hold any, written as a
+    table.  Row numbers lie close together, so it takes about a bit for each row of the table they number."""
+    placed = keys.select(_block_of(key).alias(block), F.col(key).bitwiseAND(MAP_BITS - 1).alias(bits))
+    maps = placed.repartition(block).groupBy(block).agg(F.bitmap_construct_agg(bits).alias(bits))
+    return stash(maps.withColumn(bits, F.substring(bits, 1, MAP_BITS // 8)), "key-maps")
+
+
+def rows_of(df: DataFrame, keys: DataFrame, key: str, there: bool) -> DataFrame | None:
+    """The rows of ``df`` whose long ``key`` is in the written table ``keys`` (or is not, without ``there``), found
+    where they are by broadcast bit maps; None if the numbers lie too far apart for that."""
+    block, bits = fresh_name(df, "__block"), fresh_name(df, "__bits")
+    maps = key_maps(keys, key, block, bits)
+    if maps.count() > MAP_ROWS:
+        return None
+    at = F.col(key).bitwiseAND(MAP_BITS - 1)
+    byte = F.conv(F.hex(F.substring(F.col(bits), F.shiftright(at, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    is_set = F.coalesce(F.getbit(byte, at.bitwiseAND(7).cast("int")) == 1, F.lit(False))
+    marked = df.withColumn(block, _block_of(key)).join(F.broadcast(maps), block, "left")
+    return marked.where(is_set if there else ~is_set).select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def drop_rows(df: DataFrame, gone: DataFrame, key: str) -> DataFrame:
     """``df`` without the rows whose ``key`` is in ``gone``, a written table of distinct long numbers."""
-    small = gone.count() <= BROADCAST_KEYS
+    small = gone.count() <= CORPUS_KEYS
+    if not small and (left := rows_of(df, gone, key, there=False)) is not None:
+        return left
     return df.join(F.broadcast(gone) if small else gone, key, "left_anti").select(*[F.col(f"`{c}`") for c in df.columns])

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..shipping import ship_package
-from .common import BROADCAST_KEYS, drop_rows, join_few, kept, numbered, scratch, stash, table, unstash
+from .common import CORPUS_KEYS, drop_rows, join_few, kept, numbered, rows_of, scratch, stash, table, unstash
 from .components import components
 
 #: Rows of one cell that are held together; the rest goes to further parts of the cell.
@@ -444,8 +444,11 @@ def verified_groups(classes: DataFrame, texts: DataFrame, scheme: Scheme) -> Dat
     of which the first anchors join, takes work in proportion to its size."""
     spark = classes.sparkSession
     ship_package(spark)
-    few = classes.count() <= BROADCAST_KEYS
+    few = classes.count() <= CORPUS_KEYS
     named = classes.withColumnRenamed("root", "class")
+    if not few:  # texts outside the classes stay where they are
+        inside = rows_of(texts, named.select("node"), "node", there=True)
+        texts = texts if inside is None else inside
     found = texts.join(F.broadcast(named) if few else named, "node").select("class", "node", "text")
     sets = stash(found.mapInArrow(_shingle_sets(scheme.shingle), "class long, node long, shingles binary"), "shingle-sets")
     state = sets.select("class", "node", F.lit(True).alias("open"), F.lit(False).alias("tried"))
@@ -460,17 +463,19 @@ def verified_groups(classes: DataFrame, texts: DataFrame, scheme: Scheme) -> Dat
             F.least(F.ceil(F.col("left") / ANCHORS), F.lit(several)).cast("int").alias("sets"),
             F.greatest(F.lit(1), F.floor(F.col("left") / (ANCHORS * several))).cast("long").alias("nth"),
         )
-        due = join_few(state, stash(per_class, "classes"), "class")
+        due = join_few(state, stash(per_class, "classes"), "class", CORPUS_KEYS)
         hashed = F.xxhash64(F.lit(round_), "node")
         anchor = F.col("open") & ~F.col("tried") & (F.pmod(hashed, "nth") == 0)
         due = stash(due.withColumn("anchor", anchor), "due")
         zero = F.lit(0).cast("int")
         set_of, block_of = F.pmod(F.shiftright(hashed, 20), "sets").cast("int"), F.pmod(F.shiftright(hashed, 8), "blocks").cast("int")
-        to = due.select("node", F.col("class").alias("c"), "anchor", "blocks", "sets", set_of.alias("set"), block_of.alias("block"))
-        # an anchor goes to all blocks with its set, any other row to its block with all sets, an anchor also as such a row
-        as_anchor = to.where("anchor").select("node", "set", F.explode(F.sequence(zero, F.col("blocks") - 1)).alias("block"), F.lit(0).alias("kind"))
-        as_row = to.where("NOT anchor OR sets > 1").select("node", F.explode(F.sequence(zero, F.col("sets") - 1)).alias("set"), "block", F.lit(1).alias("kind"))
-        units = sets.join(as_anchor.union(as_row), "node").select("class", "set", "block", "kind", "node", "shingles")
+        to = due.select("node", "anchor", "blocks", "sets", set_of.alias("set"), block_of.alias("block"))
+        # an anchor goes to all blocks with its set, any other row to its block with all sets, an anchor also as such a row;
+        # repeated only after the join: Spark takes a repeated table for as small as it was, and would broadcast it
+        as_anchor = F.transform(F.sequence(zero, F.col("blocks") - 1), lambda k: F.struct(F.col("set"), k.alias("block"), F.lit(0).alias("kind")))
+        as_row = F.transform(F.sequence(zero, F.col("sets") - 1), lambda k: F.struct(k.alias("set"), F.col("block"), F.lit(1).alias("kind")))
+        goes = F.concat(F.when(F.col("anchor"), as_anchor).otherwise(F.slice(as_anchor, 1, 0)), F.when(F.expr("NOT anchor OR sets > 1"), as_row).otherwise(F.slice(as_row, 1, 0)))
+        units = sets.join(to, "node").select("class", "node", "shingles", F.inline(goes)).select("class", "set", "block", "kind", "node", "shingles")
         dealt = units.repartition("class", "set", "block").sortWithinPartitions("class", "set", "block", "kind")
         more = stash(dealt.mapInArrow(_verify(scheme.similarity), "a long, b long"), "verified")
         if groups is None:
@@ -481,11 +486,12 @@ def verified_groups(classes: DataFrame, texts: DataFrame, scheme: Scheme) -> Dat
             merged = stash(components(between), "merged").select(F.col("node").alias("root"), F.col("root").alias("into"))
             nodes = groups.union(merged.join(groups, merged["root"] == groups["node"], "left_anti").select(F.col("root").alias("node"), "root"))
             groups = stash(nodes.join(merged, "root", "left").select("node", F.coalesce("into", "root").alias("root")), "groups")
-        grouped = state.join(due.select("node", "anchor"), "node", "left").join(groups, "node", "left")
-        grouped = stash(grouped.select("class", "node", (F.col("tried") | F.coalesce("anchor", F.lit(False))).alias("tried"), F.coalesce("root", "node").alias("group")), "grouped")
+        # classes that were not due have nothing open, and nothing more is linked in them
+        grouped = due.select("class", "node", (F.col("tried") | F.col("anchor")).alias("tried")).join(groups, "node", "left")
+        grouped = stash(grouped.select("class", "node", "tried", F.coalesce("root", "node").alias("group")), "grouped")
         unstash(more, due)
         largest = grouped.groupBy("class", "group").agg(F.count("*").alias("n")).groupBy("class").agg(F.max_by("group", F.struct("n", -F.col("group"))).alias("largest"))
-        state = join_few(grouped, stash(largest, "largest"), "class").select("class", "node", (F.col("group") != F.col("largest")).alias("open"), "tried")
+        state = join_few(grouped, stash(largest, "largest"), "class", CORPUS_KEYS).select("class", "node", (F.col("group") != F.col("largest")).alias("open"), "tried")
         if not state.where("open AND NOT tried").limit(1).count():
             return groups
         round_ += 1
@@ -518,9 +524,12 @@ def near_duplicate_groups(docs: DataFrame, scheme: Scheme | None = None, carried
     groups = components(loose_links(nodes, scheme, n_nodes))
     if scheme.similarity is not None:
         groups = verified_groups(groups, docs.select(F.col("key").alias("node"), "text"), scheme)
-    rooted = stash(groups.join(nodes.select("node", "first"), "node"), "rooted")
-    named = rooted.groupBy("root").agg(F.min("first").alias("group"))
-    by_node = join_few(rooted, stash(named, "named"), "root").select("node", "group")
+    if scheme.words == 1:
+        rooted = stash(groups.join(nodes.select("node", "first"), "node"), "rooted")
+        named = rooted.groupBy("root").agg(F.min("first").alias("group"))
+        by_node = join_few(rooted, stash(named, "named"), "root", CORPUS_KEYS).select("node", "group")
+    else:  # nodes are keys, and a root is the smallest of its group
+        by_node = groups.select("node", F.col("root").alias("group"))
     text = F.concat(*[F.lower(F.lpad(F.hex(c), 16, "0")) for c in names])
     if scheme.words == 1:
         by_node = nodes.join(by_node, "node", "left").select("node", F.coalesce("group", "first").alias("group"))
@@ -544,7 +553,7 @@ def keep_one_of_each(docs: DataFrame, scheme: Scheme | None = None) -> DataFrame
         named = stash(near_duplicate_groups(keyed, scheme or similar_scheme(0), ("__id",)).select("key", "group", "__id"), "groups")
         order = F.struct(F.col("__id").isNull(), "__id", "key")
         first = named.groupBy("group").agg(F.min_by("key", order).alias("kept"), F.count("*").alias("n")).where("n > 1")
-        gone = join_few(named, stash(first, "kept"), "group").where("key <> kept").select(F.col("key").alias(spare))
+        gone = join_few(named, stash(first, "kept"), "group", CORPUS_KEYS).where("key <> kept").select(F.col("key").alias(spare))
         gone = kept(stash(gone, "dropped"))
     return drop_rows(rows, gone, spare).drop(spare)
 

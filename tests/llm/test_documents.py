@@ -10,7 +10,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from driftlens.llm import decontamination, licenses, near_dups, packing, secret_scan, sharding, token_counts, toxicity
+from driftlens.llm import common, decontamination, licenses, near_dups, packing, secret_scan, sharding, token_counts, toxicity
 from driftlens.llm.components import components
 
 LONG = "word " * 30_000 + "end"
@@ -282,6 +282,69 @@ def test_keep_one(spark, docs):
     assert near_dups.keep_one_of_each(docs).count() < len(TEXTS) and near_dups.keep_one_of_each(docs.where("false")).count() == 0
 
 
+@pytest.fixture
+def broadcast_rows(monkeypatch):
+    """How many rows each table has that is given to a broadcast."""
+    seen, broadcast = [], F.broadcast
+    monkeypatch.setattr(F, "broadcast", lambda df: seen.append(df.count()) or broadcast(df))
+    return seen
+
+
+def test_keep_one_broadcasts_no_table_that_grows(spark, tmp_path, broadcast_rows):
+    """The driver holds what is broadcast: 70,000 rows to drop, of as many groups, are too many for that."""
+    text = F.concat_ws(" ", *[F.xxhash64(F.col("id") % 70_000, F.lit(c)).cast("string") for c in range(20)])
+    spark.range(0, 140_000, 1, 3).select(F.col("id").alias("doc_id"), text.alias("text")).write.parquet(f"{tmp_path}/docs")
+    kept = near_dups.keep_one_of_each(spark.read.parquet(f"{tmp_path}/docs"))
+    assert kept.agg(F.count("*"), F.countDistinct("doc_id"), F.max("doc_id")).first()[:] == (70_000, 70_000, 69_999)
+    assert broadcast_rows and max(broadcast_rows) <= 65_536
+
+
+def test_repeated_rows_are_not_broadcast(spark, monkeypatch):
+    """A loose class of unlike texts: each meets many sets of anchors, and what is repeated for that has no bound."""
+    rows, repeated = [], near_dups.stash
+    monkeypatch.setattr(near_dups, "ANCHORS", 2)
+
+    def stash(df, label):
+        if label == "verified":
+            plan = df._jdf.queryExecution().executedPlan().toString().split("\n")
+            at = {k: next((i for i, line in enumerate(plan) if k in line), 0) for k in ("Generate", "Join")}
+            rows.append(at["Generate"] < at["Join"])  # repeated above the join
+        return repeated(df, label)
+
+    monkeypatch.setattr(near_dups, "stash", stash)
+    texts = spark.range(300).select(F.col("id").alias("node"), F.concat_ws(" ", *[F.xxhash64("id", F.lit(c)).cast("string") for c in range(8)]).alias("text"))
+    found = near_dups.verified_groups(texts.select("node", F.lit(0).cast("long").alias("root")), texts, near_dups.similar_scheme(100))
+    assert found.count() == 0 and len(rows) > 2 and all(rows)
+
+
+@pytest.mark.parametrize("maps", [8192, 0])
+def test_similar_texts_without_broadcasts(spark, monkeypatch, families, broadcast_rows, tmp_path, maps):
+    """With every table too large for a broadcast the same rows stay, by bit maps and by joins."""
+    frame = spark.createDataFrame(list(enumerate(families)), "doc_id long, text string").repartition(3)
+    frame.write.parquet(f"{tmp_path}/docs")
+    frame = spark.read.parquet(f"{tmp_path}/docs")
+    want = {r["doc_id"] for r in near_dups.keep_one_of_each(frame).collect()}
+    for module in (common, near_dups):
+        monkeypatch.setattr(module, "CORPUS_KEYS", 2)
+    monkeypatch.setattr(common, "MAP_ROWS", maps)
+    monkeypatch.setattr(near_dups, "ANCHORS", 2)
+    broadcast_rows.clear()
+    assert {r["doc_id"] for r in near_dups.keep_one_of_each(frame).collect()} == want and max(broadcast_rows) <= 3
+
+
+@pytest.mark.parametrize("maps", [8192, 0])
+def test_drop_rows_by_bit_maps(spark, monkeypatch, maps):
+    monkeypatch.setattr(common, "CORPUS_KEYS", 2)
+    monkeypatch.setattr(common, "MAP_ROWS", maps)
+    keys = [None, -(2**63), -8193, -1, 0, 1, 7, 8, 8191, 8192, 2**40 - 1, 2**40, 2**40 + 8191, 2**63 - 1]
+    rows = spark.createDataFrame([(k, k) for k in keys], "key long, __bits long")
+    gone = spark.createDataFrame([(k,) for k in keys[1::2]], "key long")
+    left = common.drop_rows(rows, gone, "key")
+    assert left.columns == rows.columns and {r["key"] for r in left.collect()} == set(keys[::2])
+    if maps:
+        assert {r["key"] for r in common.rows_of(rows, gone, "key", there=True).collect()} == set(keys[1::2])
+
+
 def test_licenses(docs, none):
     rows = [r.asDict() for r in licenses.license_scan(docs).collect()]
     assert len(rows) == len(TEXTS)
