@@ -57,9 +57,11 @@ def match(current: DataFrame, previous: DataFrame, groups: Sequence[str] = (), k
     out = current.where("valid").withColumn("prev", F.lit(None).cast(previous.schema)).withColumn("_hit", F.lit(False))
     for k, key in enumerate(keys):
         side, at = f"_side{k}", f"_key{k}"
-        index = previous.where(F.col(key) != "").groupBy(*groups, F.col(key).alias(at)).agg(F.max_by(F.struct(*previous.columns), order).alias(side))
+        index = previous.where(F.col(key) != "").groupBy(*groups, F.concat(F.lit("="), key).alias(at)).agg(F.max_by(F.struct(*previous.columns), order).alias(side))
         index = index.select(*[F.col(g).alias(f"_g_{g}") for g in groups], at, side)
-        wanted = F.when(~F.col("_hit"), blank_to_null(F.col(key)))
+        # rows that look nothing up get keys of their own that hit nothing: nulls would all go to one task
+        row = F.xxhash64(*[F.col(c) for c in keys], F.col(order) if isinstance(order, str) else order)
+        wanted = F.coalesce(F.when(~F.col("_hit"), F.concat(F.lit("="), blank_to_null(F.col(key)))), F.concat(F.lit("-"), row.cast("string")))
         on = reduce_and([wanted == F.col(at), *[F.col(g).eqNullSafe(F.col(f"_g_{g}")) for g in groups]])
         out = out.join(index, on, "left").withColumn("prev", F.coalesce("prev", side)).withColumn("_hit", F.col("_hit") | F.col(side).isNotNull())
         out = out.drop(at, side, *[f"_g_{g}" for g in groups])

@@ -189,3 +189,26 @@ def test_sections(spark):
     profile = {r["heading"]: (r["level"], r["first_page"]) for r in N.section_profile(frame).collect()}
     assert profile["2.1 Critical Path & Float Analysis"] == (2, 3) and "3 Empty" in profile
     assert {r["document"]: r["n_codes"] for r in N.document_profile(frame).collect()} == {"d": 2, "e": 0, "f": 0}
+
+
+@pytest.fixture
+def dealt(spark):
+    """Rows of the largest partition of a frame, as it is dealt out without Spark's own repairs."""
+    held = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16"}
+    was = {k: spark.conf.get(k) for k in held}
+    for k, v in held.items():
+        spark.conf.set(k, v)
+    yield lambda df: df.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n"), F.max(F.xxhash64(*df.columns)).alias("h")).agg(F.max("n"), F.max("h")).first()[0]
+    for k, v in was.items():
+        spark.conf.set(k, v)
+
+
+def pairs(spark, n):
+    """``n`` tasks that all slip by a day, in two snapshots."""
+    side = lambda date: S.snapshots(spark.range(n).selectExpr("id AS ord", "string(id) AS task_id", "concat('C', id) AS task_code", f"'{date}' AS early_end_date", "'' AS act_end_date", "'' AS status_code", "string(id % 2) AS total_float_hr_cnt", "'' AS driving_path_flag", "'' AS task_type"))
+    return side("2025-01-02"), side("2025-01-01")
+
+
+def test_matched_rows_are_dealt_out(spark, dealt):
+    matched = S.match(*pairs(spark, 2000))
+    assert matched.where("prev IS NOT NULL").count() == 2000 and dealt(matched) < 400
