@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -96,20 +97,21 @@ def incidents(
     project_row: Column | None = None,
     order: Sequence[str] = ("ord",),
 ) -> DataFrame:
-    """The incidents among matched rows (see ``match``), numbered per programme, period and type in row order."""
+    """The incidents among matched rows (see ``match``), numbered per programme, period and type in row order.
+
+    They are sorted by ranges and kept on disk, so that their places stay what they are; a number is the
+    place within a range and the counts of the ranges before, of which there is a row for each range and type."""
     as_column = lambda c: F.lit(c) if isinstance(c, str) else c
     rows = matched.where(F.col("prev").isNotNull() & ~F.col("task_type").isin(*excluded))
     rows = rows.withColumns({"_programme": as_column(programme), "reporting_period": as_column(period), "previous_period": as_column(previous_period)})
     rows = rows.withColumn("delay_days", slip_days(F.col("finish_date"), F.col("prev.finish_date")))
     rows = rows.withColumn("incident_type", incident_type(F.col("critical"), F.col("delay_days"), impact_days, float_days)).where("incident_type IS NOT NULL")
-    number_ = F.row_number().over(Window.partitionBy("_programme", "reporting_period", "incident_type").orderBy(*order))
     given = [project_row] if project_row is not None else []
-    return rows.withColumn("_seq", number_).select(
-        F.format_string("%s-%s-%s-%04d", "_programme", "reporting_period", "incident_type", "_seq").alias("incident_id"),
-        "incident_type",
+    kinds = ["_programme", "reporting_period", "incident_type"]
+    rows = rows.select(
+        *kinds,
         F.coalesce(*[blank_to_null(c) for c in (*given, F.col("proj_id"), F.col("prev.proj_id"))], F.lit("unknown")).alias("project_row_id"),
         F.coalesce(blank_to_null(F.col("proj_id")), F.col("prev.proj_id")).alias("proj_id"),
-        "reporting_period",
         "previous_period",
         F.col("task_id").alias("primary_task_id"),
         "task_code",
@@ -120,7 +122,16 @@ def incidents(
         F.col("finish_field").alias("finish_field_used"),
         F.col("critical").alias("is_critical"),
         F.col("float_hours").alias("total_float_hours"),
+        *[F.col(c).alias(f"_o{k}") for k, c in enumerate(order)],
     )
+    rows = rows.orderBy(*kinds, *[f"_o{k}" for k in range(len(order))]).drop(*[f"_o{k}" for k in range(len(order))])
+    rows = rows.withColumns({"_at": F.monotonically_increasing_id(), "_range": F.spark_partition_id()}).persist(StorageLevel.DISK_ONLY)
+    ranges = rows.groupBy(*kinds, "_range").agg(F.count("*").alias("_n"), F.min("_at").alias("_first"))
+    before = F.coalesce(F.sum("_n").over(Window.partitionBy(*kinds).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranges = ranges.select(*[F.col(c).alias(f"_k{k}") for k, c in enumerate(kinds)], F.col("_range").alias("_k"), (before - F.col("_first") + 1).alias("_add"))
+    rows = rows.join(F.broadcast(ranges), reduce_and([F.col("_range") == F.col("_k"), *[F.col(c).eqNullSafe(F.col(f"_k{k}")) for k, c in enumerate(kinds)]]))
+    number_ = F.format_string("%s-%s-%s-%04d", "_programme", "reporting_period", "incident_type", F.col("_at") + F.col("_add"))
+    return rows.select(number_.alias("incident_id"), *defaults.INCIDENT_COLUMNS[1:])
 
 
 def slipped_tasks(matched: DataFrame, min_days: float = 1.0, groups: Sequence[str] = (), order: Column | str = "ord") -> DataFrame:

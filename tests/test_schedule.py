@@ -212,3 +212,11 @@ def pairs(spark, n):
 def test_matched_rows_are_dealt_out(spark, dealt):
     matched = S.match(*pairs(spark, 2000))
     assert matched.where("prev IS NOT NULL").count() == 2000 and dealt(matched) < 400
+
+
+def test_incident_numbers_are_dealt_out(spark, dealt):
+    """Numbers follow the rows' order over all ranges, for each type."""
+    found = S.incidents(S.match(*pairs(spark, 2000)), "p", "c", "b")
+    numbers = {r["incident_id"]: r["primary_task_id"] for r in found.collect()}
+    assert numbers == {f"p-c-{kind}-{k + 1:04d}": str(2 * k + at) for k in range(1000) for at, kind in enumerate(("impact", "float"))}
+    assert dealt(found) < 500
