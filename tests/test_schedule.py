@@ -220,3 +220,11 @@ def test_incident_numbers_are_dealt_out(spark, dealt):
     numbers = {r["incident_id"]: r["primary_task_id"] for r in found.collect()}
     assert numbers == {f"p-c-{kind}-{k + 1:04d}": str(2 * k + at) for k in range(1000) for at, kind in enumerate(("impact", "float"))}
     assert dealt(found) < 500
+
+
+def test_incidents_of_one_project_row_are_dealt_out(spark, dealt):
+    incidents = spark.range(2000).selectExpr("string(id) AS incident_id", "if(id >= 0, '7', '8') AS project_row_id")
+    chunks = spark.createDataFrame([("c1", "7", "mitigation", "s", "t", 1), ("c2", "8", None, "s", "t", 2)], "chunk_id string, project_row_id string, section_type string, section_title string, text string, chunk_ord long")
+    links = N.link_project_rows(incidents, chunks)
+    assert links.select("incident_id").distinct().count() == links.count() == 2000 and {r["chunk_id"] for r in links.collect()} == {"c1"}
+    assert dealt(links) < 600
