@@ -228,3 +228,12 @@ def test_incidents_of_one_project_row_are_dealt_out(spark, dealt):
     links = N.link_project_rows(incidents, chunks)
     assert links.select("incident_id").distinct().count() == links.count() == 2000 and {r["chunk_id"] for r in links.collect()} == {"c1"}
     assert dealt(links) < 600
+
+
+def test_incidents_without_links_are_dealt_out(spark, dealt):
+    blank = {c: "''" for c in defaults.INCIDENT_COLUMNS}
+    incidents = spark.range(2000).selectExpr("string(id) AS incident_id", *[f"{v} AS {c}" for c, v in blank.items() if c != "incident_id"]).withColumn("primary_task_id", F.col("incident_id"))
+    chunks = spark.createDataFrame([("c1", "5", "s", "l", "t", 1, 1)], "chunk_id string, task_id string, source string, memo_type_label string, text string, chunk_ord long, source_ord long")
+    rows = N.review(incidents, N.link_memos(incidents, chunks), chunks)
+    assert rows.count() == 2000 and [r["incident_id"] for r in rows.where("chunk_text = 't'").collect()] == ["5"]
+    assert dealt(rows) < 600
