@@ -3,6 +3,7 @@
 import collections
 import json
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -238,3 +239,21 @@ def test_windows(spark):
     events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
     assert incremental.event_windows(events).agg(F.sum("n")).first()[0] == events.count()
     assert text_queries.TAXONOMY.subs
+
+
+def test_vocabulary_holds_few_grams(spark):
+    """The vocabulary is that of all n-grams, and what is held while counting follows its size."""
+    draw = random.Random(5)
+    texts = [" ".join(f"w{min(draw.randrange(60), draw.randrange(60))}" for _ in range(40)) for _ in range(60)]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string")
+    df, total = collections.Counter(), collections.Counter()
+    for t in texts:
+        words = t.split()
+        found = [" ".join(words[k : k + n]) for n in (1, 2, 3) for k in range(len(words) - n + 1)]
+        total.update(found)
+        df.update(set(found))
+    for most in (20, 150, 100_000):
+        want = sorted((t for t in df if 2 <= df[t] <= 0.95 * 60), key=lambda t: (-total[t], t))[:most]
+        got = S.vocabulary(rows, 60, [], most=most)
+        assert got.df == {t: df[t] for t in want}
+        assert max(got.grams.sizes()) <= 2 * most
